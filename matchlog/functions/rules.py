@@ -95,6 +95,18 @@ class Rule:
             guard = c if guard is None else guard & c
         return cond if guard is None else guard & cond
 
+    def matches_sql(self, message: str) -> str:
+        """The same test as SQL text over the SQL expression ``message``."""
+        if self.equals is not None:
+            return f"{message} = {sql_literal(self.equals)}"
+        tests = []
+        if self.starts is not None:
+            tests.append(f"startswith({message}, {sql_literal(self.starts)})")
+        if self.contains is not None:
+            tests.append(f"contains({message}, {sql_literal(self.contains)})")
+        tests.append(f"{message} RLIKE {sql_literal(self.pattern)}")
+        return " AND ".join(tests)
+
     def group(self, message: Column, name: str) -> Column:
         """Capture group by name; ``''`` when the message does not match."""
         return F.regexp_extract(message, self.pattern, self.groups.index(name) + 1)
@@ -117,13 +129,24 @@ RULES: tuple[Rule, ...] = (
 RULE = {r.name: r for r in RULES}
 
 
-def classify(message: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """Ordered first-match-wins classification as one CASE expression."""
-    expr = None
-    for rule in rules:
-        cond = rule.matches(message)
-        expr = F.when(cond, F.lit(rule.category)) if expr is None else expr.when(cond, F.lit(rule.category))
-    return expr.otherwise(F.lit(FALLBACK_CATEGORY))
+def sql_literal(s: str) -> str:
+    """A Spark SQL string literal holding exactly ``s``."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def classify_sql(message: str = "message", rules: tuple[Rule, ...] = RULES) -> str:
+    """Ordered first-match-wins classification as SQL ``CASE`` text."""
+    branches = " ".join(f"WHEN {r.matches_sql(message)} THEN {sql_literal(r.category)}" for r in rules)
+    return f"CASE {branches} ELSE {sql_literal(FALLBACK_CATEGORY)} END"
+
+
+def classify(message: str = "message", rules: tuple[Rule, ...] = RULES) -> Column:
+    """Ordered first-match-wins classification as one CASE expression.
+
+    Generated as SQL text and parsed once in the JVM: one call instead of
+    one per rule operand.
+    """
+    return F.expr(classify_sql(f"`{message}`", rules))
 
 
 def is_match_start(message: Column) -> Column:

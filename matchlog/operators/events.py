@@ -39,7 +39,7 @@ EVENT_COLUMNS = (
 
 def classify_events(events: DataFrame, message: str = "message") -> DataFrame:
     """Add ``category`` (ordered rule pack, first match wins), once per row."""
-    return select_once(events, events.columns, {"category": classify(F.col(message))})
+    return select_once(events, events.columns, {"category": classify(message)})
 
 
 def enrich(events: DataFrame, protagonist: str = DEFAULT_PROTAGONIST, *, exact_name: bool = False) -> DataFrame:

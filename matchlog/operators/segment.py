@@ -72,33 +72,31 @@ def running_totals(
         raise ValueError("chunk_rows must be positive")
     original = df.columns
     keys: list[str] = []
-    staged = df
+    extra: list[Column] = []
     for i, name in enumerate(by):
         for key, expr in _null_safe_key(df, name, i):
-            staged = staged.withColumn(key, expr)
+            extra.append(expr.alias(key))
             keys.append(key)
     chunk_expr = chunk if chunk is not None else F.expr(f"`{order_by}` div {int(chunk_rows)}")
-    staged = staged.withColumn("_chunk", chunk_expr)
-    values = {name: expr for name, expr in sums.items()}
-    for j, (name, expr) in enumerate(values.items()):
-        staged = staged.withColumn(f"_v{j}", expr)
+    extra.append(chunk_expr.alias("_chunk"))
+    names = list(sums)
+    extra += [sums[name].alias(f"_v{j}") for j, name in enumerate(names)]
+    staged = df.select("*", *extra)
 
     part = [*keys, "_chunk"]
     inside = Window.partitionBy(*part).orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = staged
-    for j in range(len(values)):
-        local = local.withColumn(f"_r{j}", F.sum(f"_v{j}").over(inside))
+    local = staged.select("*", *[F.sum(f"_v{j}").over(inside).alias(f"_r{j}") for j in range(len(names))])
 
-    totals = staged.groupBy(*part).agg(*[F.sum(f"_v{j}").alias(f"_t{j}") for j in range(len(values))])
+    totals = staged.groupBy(*part).agg(*[F.sum(f"_v{j}").alias(f"_t{j}") for j in range(len(names))])
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *part,
-        *[F.coalesce(F.sum(f"_t{j}").over(before), F.lit(0)).cast("long").alias(f"_o{j}") for j in range(len(values))],
+        *[F.coalesce(F.sum(f"_t{j}").over(before), F.lit(0)).cast("long").alias(f"_o{j}") for j in range(len(names))],
     )
     joined = local.join(offsets, on=part, how="inner")
     return joined.select(
         *original,
-        *[(F.col(f"_o{j}") + F.col(f"_r{j}")).cast("long").alias(name) for j, name in enumerate(values)],
+        *[(F.col(f"_o{j}") + F.col(f"_r{j}")).cast("long").alias(name) for j, name in enumerate(names)],
     )
 
 

@@ -22,6 +22,7 @@ from ..operators.framing import filter_chat, frame
 from ..operators.lines import split_lines
 from ..operators.segment import assign_match_ids
 from ..sources.fixture import render_log
+from ..sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,7 +43,7 @@ def query(fn: Query | None = None, *, name: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ row), grows linearly with ``events`` and needs no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,85 +22,63 @@ LOG_THREAD = "] [Client thread/INFO]: "
 TEAM_COLOURS = ("Azul", "Verde", "Ciano", "Rosa")
 
 
-def _time_of_day(ts: Column, dtype: T.DataType) -> Column:
+def _time_of_day_sql(dtype: T.DataType) -> str:
     if isinstance(dtype, T.TimestampNTZType):
-        return F.date_format(ts, "HH:mm:ss")
+        return "date_format(ts, 'HH:mm:ss')"
     # Session-zone timestamps: render the UTC wall clock, whatever the zone.
-    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "HH:mm:ss")
+    return "date_format(to_utc_timestamp(ts, current_timezone()), 'HH:mm:ss')"
 
 
-def _pick(selector: Column, *choices: Column) -> Column:
-    expr = None
-    for i, choice in enumerate(choices):
-        expr = F.when(selector == i, choice) if expr is None else expr.when(selector == i, choice)
-    return expr
+# One SQL expression (parsed once in the JVM) instead of a few hundred
+# Column calls: the body of a rendered line, FIXTURES.md section 3.
+_MESSAGE_SQL = """
+CASE event_type
+  WHEN 'signup' THEN CASE event_id % 5
+    WHEN 0 THEN 'O jogo iniciou!'
+    WHEN 1 THEN concat('O jogo inicia em ', k, ' segundos!')
+    WHEN 2 THEN concat('p', k, ' entrou na sala (', k % 8 + 1, '/8).')
+    WHEN 3 THEN concat('p', k, ' saiu da sala (', k % 8 + 1, '/8).')
+    ELSE concat('Bem-vindo ao servidor ', k) END
+  WHEN 'purchase' THEN CASE WHEN event_id % 4 = 3 THEN 'Você não tem recursos o suficiente.'
+    ELSE concat('Você comprou Item ', k % 10, ' (Nível ', k % 3, ').') END
+  WHEN 'click' THEN concat(
+    CASE WHEN k % 10 = 0 THEN 'p7' ELSE concat('u', user_id) END,
+    CASE event_id % 5
+      WHEN 0 THEN concat(' morreu para p', k % 20, '.')
+      WHEN 1 THEN concat(' morreu no void para p', k % 20, '.')
+      WHEN 2 THEN ' morreu no void.'
+      WHEN 3 THEN concat(' morreu para p', k % 20, '. KILL FINAL!')
+      ELSE concat(' morreu para p', k % 20, '. PRIMEIRA KILL FINAL!') END)
+  WHEN 'view' THEN CASE event_id % 5
+    WHEN 0 THEN concat('+', k + 1, ' Ferros')
+    WHEN 1 THEN concat('+', k + 1, ' Ouro')
+    WHEN 2 THEN concat('+', k + 1, ' XP (Double XP)')
+    WHEN 3 THEN concat('+', k + 1, ' XP')
+    ELSE concat('Você ganhou ', k + 1, ' de XP nessa partida!') END
+  WHEN 'error' THEN CASE event_id % 4
+    WHEN 0 THEN concat('CAMA DESTRUÍDA » A Cama do ', element_at(array{colours}, int(k % 4) + 1),
+                       ' foi destruída por p', k % 20, '.')
+    WHEN 1 THEN concat('TIME ELIMINADO » O Time ', element_at(array{colours}, int(k % 4) + 1), ' foi eliminado.')
+    WHEN 2 THEN concat('[B] [', k, '?] u', user_id, ': gg ', k)
+    ELSE concat(' - aviso ', k) END
+  ELSE concat('evento ', event_type)
+END""".replace("{colours}", "(" + ", ".join(f"'{c}'" for c in TEAM_COLOURS) + ")")
 
-
-def chat_message(event_id: Column, user_id: Column, event_type: Column, k: Column) -> Column:
-    """The chat message a fixture row turns into (before framing)."""
-    s5, s4 = event_id % 5, event_id % 4
-    victim = F.when(k % 10 == 0, F.lit(PROTAGONIST)).otherwise(F.concat(F.lit("u"), user_id.cast("string")))
-    killer = F.concat(F.lit("p"), (k % 20).cast("string"))
-    colour = _pick(k % 4, *[F.lit(c) for c in TEAM_COLOURS])
-    fmt = F.format_string
-    signup = _pick(
-        s5,
-        F.lit("O jogo iniciou!"),
-        fmt("O jogo inicia em %d segundos!", k),
-        fmt("p%d entrou na sala (%d/8).", k, k % 8 + 1),
-        fmt("p%d saiu da sala (%d/8).", k, k % 8 + 1),
-        fmt("Bem-vindo ao servidor %d", k),
-    )
-    purchase = F.when(s4 == 3, F.lit("Você não tem recursos o suficiente.")).otherwise(
-        fmt("Você comprou Item %d (Nível %d).", k % 10, k % 3)
-    )
-    click = _pick(
-        s5,
-        fmt("%s morreu para %s.", victim, killer),
-        fmt("%s morreu no void para %s.", victim, killer),
-        fmt("%s morreu no void.", victim),
-        fmt("%s morreu para %s. KILL FINAL!", victim, killer),
-        fmt("%s morreu para %s. PRIMEIRA KILL FINAL!", victim, killer),
-    )
-    view = _pick(
-        s5,
-        fmt("+%d Ferros", k + 1),
-        fmt("+%d Ouro", k + 1),
-        fmt("+%d XP (Double XP)", k + 1),
-        fmt("+%d XP", k + 1),
-        fmt("Você ganhou %d de XP nessa partida!", k + 1),
-    )
-    error = _pick(
-        s4,
-        fmt("CAMA DESTRUÍDA » A Cama do %s foi destruída por %s.", colour, killer),
-        fmt("TIME ELIMINADO » O Time %s foi eliminado.", colour),
-        fmt("[B] [%d?] u%d: gg %d", k, user_id, k),
-        fmt(" - aviso %d", k),
-    )
-    return (
-        F.when(event_type == "signup", signup)
-        .when(event_type == "purchase", purchase)
-        .when(event_type == "click", click)
-        .when(event_type == "view", view)
-        .when(event_type == "error", error)
-        .otherwise(F.concat(F.lit("evento "), event_type))
-    )
+_BODY_SQL = f"""
+CASE WHEN event_id % 11 = 0 THEN concat('chunk ', k)
+     WHEN event_id % 13 = 0 THEN '[CHAT]   '
+     ELSE concat('[CHAT] ', {_MESSAGE_SQL}) END"""
 
 
 def render_log(events: DataFrame) -> DataFrame:
     """``events`` -> ``lines(log_id, line_no, value)``; log = user, line = event."""
-    eid, uid, k = F.col("event_id"), F.col("user_id"), F.col("_k")
-    staged = events.select(
-        "event_id", "user_id", "event_type", "ts", F.get_json_object("props", "$.k").try_cast("long").alias("_k")
-    )
-    body = (
-        F.when(eid % 11 == 0, F.concat(F.lit("chunk "), k.cast("string")))
-        .when(eid % 13 == 0, F.lit("[CHAT]   "))
-        .otherwise(F.concat(F.lit("[CHAT] "), chat_message(eid, uid, F.col("event_type"), k)))
+    staged = events.selectExpr(
+        "event_id", "user_id", "event_type", "ts", "try_cast(get_json_object(props, '$.k') AS BIGINT) AS k"
     )
-    stamp = _time_of_day(F.col("ts"), events.schema["ts"].dataType)
+    stamp = _time_of_day_sql(events.schema["ts"].dataType)
+    value = F.expr(f"concat('[', {stamp}, '{LOG_THREAD}', {_BODY_SQL})")
     return select_once(
         staged,
-        [uid.alias("log_id"), eid.alias("line_no")],
-        {"value": F.concat(F.lit("["), stamp, F.lit(LOG_THREAD), body)},
+        [F.col("user_id").alias("log_id"), F.col("event_id").alias("line_no")],
+        {"value": value},
     )
