@@ -70,12 +70,15 @@ def build_events(
 ) -> DataFrame:
     """``lines(log_id, line_no, value)`` -> event table (``EVENT_COLUMNS``).
 
-    ``with_match=False`` leaves ``match_id`` null and needs no shuffle.
+    ``with_match=False`` leaves ``match_id`` null and needs no shuffle.  When
+    the lines already carry ``match_id`` (``read_logs(with_match_ids=True)``)
+    it is kept and no second segmentation runs.
     """
-    framed = frame(lines)
-    if with_match:
-        framed = assign_match_ids(framed, by_log=by_log, chunk_rows=chunk_rows)
+    if "match_id" in lines.columns:
+        framed = frame(lines, keep=("log_id", "line_no", "match_id"))
+    elif with_match:
+        framed = assign_match_ids(frame(lines), by_log=by_log, chunk_rows=chunk_rows)
     else:
-        framed = framed.withColumn("match_id", F.lit(None).cast("long"))
+        framed = frame(lines).withColumn("match_id", F.lit(None).cast("long"))
     ev = enrich(classify_events(framed), protagonist, exact_name=exact_name)
     return ev.select(*EVENT_COLUMNS)

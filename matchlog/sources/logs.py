@@ -13,39 +13,63 @@ is (a split is read front to back inside one task), so ``(file, split start,
 id)`` orders the lines, and a dense 0-based ``line_no`` per file is the
 running count of lines over that key -- computed with the same two-phase
 chunked scan as the match ids, using the split as the chunk.
+
+``with_match_ids=True`` computes the per-log match id in that same pass (a
+second running sum over the same key), so raw logs reach the event table
+with one shuffle of the lines instead of two.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import framing as fr
 from ..functions.charset import decode_cp1252
+from ..functions.rules import MATCH_START_MESSAGE
 from ..operators.segment import running_totals
 
 CHARSETS = ("cp1252", "utf-8")
 
 
-def read_logs(spark: SparkSession, paths: str | Sequence[str], *, charset: str = "cp1252") -> DataFrame:
-    """Text logs -> ``lines(log_id string, line_no bigint, value string)``."""
+def is_start_line(value: Column) -> Column:
+    """The line is a chat event whose message is exactly the start marker.
+
+    The literal ``contains`` test rejects almost every line before any regex.
+    """
+    guard = value.contains(MATCH_START_MESSAGE) & fr.is_chat_line(value)
+    return F.when(guard & (fr.message(value) == F.lit(MATCH_START_MESSAGE)), F.lit(1)).otherwise(F.lit(0))
+
+
+def read_logs(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    charset: str = "cp1252",
+    with_match_ids: bool = False,
+) -> DataFrame:
+    """Text logs -> ``lines(log_id string, line_no bigint, value string)``.
+
+    With ``with_match_ids`` the lines also carry ``match_id`` (per log).
+    """
     if charset not in CHARSETS:
         raise ValueError(f"charset must be one of {CHARSETS}")
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = spark.read.text(paths)
+    value = decode_cp1252(F.col("value").cast("binary")) if charset == "cp1252" else F.col("value")
     scanned = raw.select(
         F.col("_metadata.file_path").alias("log_id"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_pos"),
-        F.col("value"),
+        value.alias("value"),
     )
-    numbered = running_totals(
-        scanned,
-        order_by="_pos",
-        sums={"_line": F.lit(1)},
-        by=["log_id"],
-        chunk=F.col("_split"),
-    )
-    value = decode_cp1252(F.col("value").cast("binary")) if charset == "cp1252" else F.col("value")
-    return numbered.select("log_id", (F.col("_line") - 1).alias("line_no"), value.alias("value"))
+    sums = {"_line": F.lit(1)}
+    if with_match_ids:
+        sums["match_id"] = is_start_line(F.col("value"))
+    numbered = running_totals(scanned, order_by="_pos", sums=sums, by=["log_id"], chunk=F.col("_split"))
+    out = [F.col("log_id"), (F.col("_line") - 1).alias("line_no"), F.col("value")]
+    if with_match_ids:
+        out.append(F.col("match_id"))
+    return numbered.select(*out)

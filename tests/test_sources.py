@@ -74,3 +74,26 @@ def test_end_to_end_from_files(spark, log_dir):
     cats = {r.category: r["count"] for r in ev.groupBy("category").count().collect()}
     assert cats["purchase"] == 1 and cats["system"] == 3001
     assert ev.where(F.col("match_id") != 0).count() == 0
+
+
+def test_match_ids_in_the_read_pass_equal_segmentation(spark, tmp_path):
+    from matchlog.operators.events import build_events
+
+    body = []
+    for i in range(2500):
+        msg = "O jogo iniciou!" if i % 97 == 5 else ("[CHAT]   " if i % 13 == 0 else f"linha {i}")
+        body.append(f"[12:00:00] [t]: [CHAT] {msg}" if not msg.startswith("[CHAT]") else msg)
+        if i % 11 == 0:
+            body.append(f"[12:00:00] [t]: [CHAT]  O jogo iniciou!  ")  # marker with blanks: still a marker
+    (tmp_path / "m.log").write_bytes(("\n".join(body) + "\n").encode("cp1252"))
+    (tmp_path / "n.log").write_bytes("[CHAT] O jogo iniciou!\r\nx\r\n[CHAT] y\r\n".encode("cp1252"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        one = build_events(read_logs(spark, str(tmp_path), with_match_ids=True))
+        two = build_events(read_logs(spark, str(tmp_path)), chunk_rows=50)
+        a = sorted((r.log_id, r.line_no, r.match_id) for r in one.collect())
+        b = sorted((r.log_id, r.line_no, r.match_id) for r in two.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert a == b
+    assert max(m for _, _, m in a) > 20
