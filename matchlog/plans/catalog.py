@@ -17,6 +17,7 @@ from ..functions import enrich as en
 from ..functions.charset import decode_cp1252, encode_single_byte
 from ..functions.rules import is_match_start
 from ..operators import marts
+from ..operators.contract import original_contract
 from ..operators.events import DEFAULT_PROTAGONIST, build_events, classify_events, enrich
 from ..operators.framing import filter_chat, frame
 from ..operators.lines import split_lines
@@ -203,6 +204,12 @@ def build_event_table(spark, sf_dir):
     return events(spark, sf_dir)
 
 
+@query
+def original_contract_events(spark, sf_dir):
+    """P13 with the original column names, labels and detail wording."""
+    return original_contract(events(spark, sf_dir))
+
+
 # --- listings and marts ---------------------------------------------------------
 
 @query

@@ -184,6 +184,21 @@ def oracle_sql() -> dict[str, str]:
         "flag_final": _on_events("SELECT event_id, is_final FROM ev"),
         "flag_own": _on_events("SELECT event_id, is_own FROM ev"),
         "build_event_table": _on_events(f"SELECT {_EVENT_TABLE} FROM ev"),
+        "original_contract_events": _on_events(
+            """
+            SELECT log_id, line_no, match_id, event_time AS hora, message AS mensagem_limpa,
+              CASE category
+                WHEN 'match_start' THEN 'Início de Partida' WHEN 'bed_destroyed' THEN 'Cama Destruída'
+                WHEN 'team_eliminated' THEN 'Time Eliminado' WHEN 'pvp' THEN 'PvP'
+                WHEN 'lobby' THEN 'Sala/Lobby' WHEN 'purchase' THEN 'Economia/Compra'
+                WHEN 'pickup' THEN 'Economia/Coleta' WHEN 'xp' THEN 'Progressão/XP'
+                WHEN 'chat' THEN 'Chat/Toxicidade' ELSE 'Sistema' END AS categoria_evento,
+              target AS jogador_alvo, actor AS jogador_agressor_ou_ator,
+              CASE WHEN category = 'xp' THEN concat(k + 1, CASE WHEN s5 = 4 THEN ' XP (fim de partida)'
+                   ELSE ' XP (mid-game)' END) ELSE detail END AS item_ou_recurso,
+              is_final AS is_kill_final, is_own AS is_minha_acao
+            FROM ev"""
+        ),
         "preview_events": _on_events(
             "SELECT log_id, line_no, message, category FROM ev ORDER BY line_no, log_id LIMIT 200"
         ),
