@@ -13,10 +13,11 @@ def split_lines(df: DataFrame, *, key: str, text: str) -> DataFrame:
     """``(key, text)`` -> ``(key, line_idx bigint, line)``, 0-based.
 
     A final line break does not open an empty last line and an empty text
-    has no lines, as with a text file reader.  Runs per row (``posexplode``),
-    no shuffle.
+    has no lines, as with a text file reader.  One ``posexplode`` directly
+    over the split (a single generator stage, no shuffle).
     """
-    parts = df.select(key, F.split(F.col(text), LINE_BREAK, -1).alias("_parts"))
-    exploded = parts.select(key, F.size("_parts").alias("_n"), F.posexplode("_parts").alias("_pos", "line"))
-    kept = exploded.where(~((F.col("_pos") == F.col("_n") - 1) & (F.col("line") == "")))
-    return kept.select(key, F.col("_pos").cast("long").alias("line_idx"), "line")
+    t = F.col(text)
+    body = F.regexp_replace(t, f"({LINE_BREAK})\\z", "")
+    parts = F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK, -1))
+    exploded = df.select(key, F.posexplode(parts).alias("_pos", "line"))
+    return exploded.select(key, F.col("_pos").cast("long").alias("line_idx"), "line")

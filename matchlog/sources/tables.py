@@ -20,7 +20,7 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
-_READS: dict[tuple[int, str, bool], DataFrame] = {}
+_READS: dict[tuple[str, bool], tuple[SparkSession, DataFrame]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *, spread_rows: bool = True) -> DataFrame:
@@ -30,8 +30,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *, spread_rows: bool
     query; the data itself is read by every action as usual.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path, spread_rows)
-    if key not in _READS:
-        df = spark.read.parquet(path)
-        _READS[key] = spread(df) if spread_rows else df
-    return _READS[key]
+    key = (path, spread_rows)
+    hit = _READS.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = spark.read.parquet(path)
+    df = spread(df) if spread_rows else df
+    _READS[key] = (spark, df)
+    return df

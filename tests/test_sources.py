@@ -97,3 +97,21 @@ def test_match_ids_in_the_read_pass_equal_segmentation(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert a == b
     assert max(m for _, _, m in a) > 20
+
+
+def test_split_lines_like_a_file_reader(spark):
+    from matchlog.operators.lines import split_lines
+
+    texts = {1: "", 2: "a", 3: "a\n", 4: "a\n\n", 5: "\n", 6: "a\r\nb\rc\nd", 7: "a\r\n", 8: None}
+    df = spark.createDataFrame(list(texts.items()), "k long, t string")
+    got = {}
+    for r in split_lines(df, key="k", text="t").collect():
+        got.setdefault(r.k, []).append((r.line_idx, r.line))
+    assert got == {
+        2: [(0, "a")],
+        3: [(0, "a")],
+        4: [(0, "a"), (1, "")],
+        5: [(0, "")],
+        6: [(0, "a"), (1, "b"), (2, "c"), (3, "d")],
+        7: [(0, "a")],
+    }
