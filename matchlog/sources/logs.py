@@ -12,7 +12,8 @@ different files are packed into partitions in size order, so
 is (a split is read front to back inside one task), so ``(file, split start,
 id)`` orders the lines, and a dense 0-based ``line_no`` per file is the
 running count of lines over that key -- computed with the same two-phase
-chunked scan as the match ids, using the split as the chunk.
+chunked scan as the match ids, using runs of consecutive lines inside a
+split as the chunks.
 
 ``with_match_ids=True`` computes the per-log match id in that same pass (a
 second running sum over the same key), so raw logs reach the event table
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions import framing as fr
 from ..functions.charset import decode_cp1252
 from ..functions.rules import MATCH_START_MESSAGE
-from ..operators.segment import running_totals
+from ..operators.segment import DEFAULT_CHUNK_ROWS, running_totals
 
 CHARSETS = ("cp1252", "utf-8")
 
@@ -49,6 +50,7 @@ def read_logs(
     *,
     charset: str = "cp1252",
     with_match_ids: bool = False,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
     """Text logs -> ``lines(log_id string, line_no bigint, value string)``.
 
@@ -68,7 +70,11 @@ def read_logs(
     sums = {"_line": F.lit(1)}
     if with_match_ids:
         sums["match_id"] = is_start_line(F.col("value"))
-    numbered = running_totals(scanned, order_by="_pos", sums=sums, by=["log_id"], chunk=F.col("_split"))
+    # Chunk = a run of at most ``chunk_rows`` consecutive lines of one split
+    # (ids are consecutive inside a split), so a 128 MB split is not one
+    # window partition either.
+    chunk = F.struct(F.col("_split"), F.expr(f"_pos div {int(chunk_rows)}"))
+    numbered = running_totals(scanned, order_by="_pos", sums=sums, by=["log_id"], chunk=chunk)
     out = [F.col("log_id"), (F.col("_line") - 1).alias("line_no"), F.col("value")]
     if with_match_ids:
         out.append(F.col("match_id"))

@@ -14,9 +14,11 @@ def spread(df: DataFrame) -> DataFrame:
     repartition, so a retried task sees the same rows).  At cluster scale the
     scan already has far more splits than cores and this is a no-op.
     """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan as is
+        return df
     return df.repartition(want) if have < want else df
 
 

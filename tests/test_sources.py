@@ -36,10 +36,11 @@ def log_dir():
     return d
 
 
-def test_read_logs_orders_lines_across_splits(spark, log_dir):
+@pytest.mark.parametrize("chunk_rows", [7, 1 << 18])
+def test_read_logs_orders_lines_across_splits(spark, log_dir, chunk_rows):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        lines = read_logs(spark, log_dir)
+        lines = read_logs(spark, log_dir, chunk_rows=chunk_rows)
         assert lines.rdd.getNumPartitions() >= 1
         rows = lines.collect()
     finally:
@@ -89,7 +90,7 @@ def test_match_ids_in_the_read_pass_equal_segmentation(spark, tmp_path):
     (tmp_path / "n.log").write_bytes("[CHAT] O jogo iniciou!\r\nx\r\n[CHAT] y\r\n".encode("cp1252"))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
-        one = build_events(read_logs(spark, str(tmp_path), with_match_ids=True))
+        one = build_events(read_logs(spark, str(tmp_path), with_match_ids=True, chunk_rows=5))
         two = build_events(read_logs(spark, str(tmp_path)), chunk_rows=50)
         a = sorted((r.log_id, r.line_no, r.match_id) for r in one.collect())
         b = sorted((r.log_id, r.line_no, r.match_id) for r in two.collect())
