@@ -1,10 +1,11 @@
 """Lines -> the flat event table (the ETL proper).
 
-``build_events`` = frame -> segment -> classify -> enrich, all DataFrame to
-DataFrame, no action.  Only the segmentation shuffles; everything else is
-narrow and runs inside whole-stage codegen next to the scan or the shuffle
-read.  Marts that do not need ``match_id`` call it with ``with_match=False``
-and skip the shuffle altogether.
+``build_events`` = frame -> classify -> enrich -> segment, all DataFrame to
+DataFrame, no action.  The row-local, regex-heavy work runs in the scan
+stage, whose parallelism follows the input splits; only the segmentation
+shuffles, and after it only the window and the offset join remain.  Marts
+that do not need ``match_id`` call it with ``with_match=False`` and skip the
+shuffle altogether.
 """
 
 from __future__ import annotations
@@ -76,9 +77,12 @@ def build_events(
     """
     if "match_id" in lines.columns:
         framed = frame(lines, keep=("log_id", "line_no", "match_id"))
-    elif with_match:
-        framed = assign_match_ids(frame(lines), by_log=by_log, chunk_rows=chunk_rows)
-    else:
-        framed = frame(lines).withColumn("match_id", F.lit(None).cast("long"))
+        return enrich(classify_events(framed), protagonist, exact_name=exact_name).select(*EVENT_COLUMNS)
+    framed = frame(lines)
     ev = enrich(classify_events(framed), protagonist, exact_name=exact_name)
+    if with_match:
+        # chunk totals come from the plain frame: no classification in that pass
+        ev = assign_match_ids(ev, by_log=by_log, chunk_rows=chunk_rows, totals_from=framed)
+    else:
+        ev = ev.withColumn("match_id", F.lit(None).cast("long"))
     return ev.select(*EVENT_COLUMNS)

@@ -61,12 +61,15 @@ def running_totals(
     by: Sequence[str] = (),
     chunk: Column | None = None,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    totals_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add inclusive running sums per ``by`` group in ``order_by`` order.
 
     ``order_by`` must be unique inside a group.  ``chunk`` may name an
     existing contiguous block key (e.g. a file split); by default the block is
-    ``order_by div chunk_rows``.
+    ``order_by div chunk_rows``.  ``totals_from`` is an optional cheaper
+    input with the same rows and sum values (e.g. ``df`` before expensive
+    columns were added); the chunk totals are aggregated from it.
     """
     if chunk_rows <= 0:
         raise ValueError("chunk_rows must be positive")
@@ -82,12 +85,13 @@ def running_totals(
     names = list(sums)
     extra += [sums[name].alias(f"_v{j}") for j, name in enumerate(names)]
     staged = df.select("*", *extra)
+    source = staged if totals_from is None else totals_from.select("*", *extra)
 
     part = [*keys, "_chunk"]
     inside = Window.partitionBy(*part).orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = staged.select("*", *[F.sum(f"_v{j}").over(inside).alias(f"_r{j}") for j in range(len(names))])
 
-    totals = staged.groupBy(*part).agg(*[F.sum(f"_v{j}").alias(f"_t{j}") for j in range(len(names))])
+    totals = source.groupBy(*part).agg(*[F.sum(f"_v{j}").alias(f"_t{j}") for j in range(len(names))])
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *part,
@@ -108,6 +112,7 @@ def assign_match_ids(
     by_log: bool = True,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     message: str = "message",
+    totals_from: DataFrame | None = None,
 ) -> DataFrame:
     """``match_id`` = running count of start markers in line order.
 
@@ -120,4 +125,5 @@ def assign_match_ids(
         sums={"match_id": is_match_start(F.col(message))},
         by=[log] if by_log else [],
         chunk_rows=chunk_rows,
+        totals_from=totals_from,
     )
