@@ -4,6 +4,9 @@ Every extraction sits inside the branch of its own category, so a regex only
 runs on the rows it can match (classify first, extract second).  Where the
 same capture is needed as a test and as a value, ``nullif`` folds both into
 one evaluation.
+
+The columns are generated as SQL text from the rule pack and parsed once in
+the JVM (one call per column instead of one per operand).
 """
 
 from __future__ import annotations
@@ -18,170 +21,174 @@ from .rules import (
     RULE,
     TEAM_ELIMINATED_PHRASE,
     TEAM_TARGET_PREFIX,
+    sql_literal,
 )
 
 # Labels of the text detail column.
 XP_MID_LABEL = " XP (mid-match)"
 XP_END_LABEL = " XP (match end)"
 
+MSG = "message"
+CAT = "category"
+
 
-def _null(dtype: str) -> Column:
-    return F.lit(None).cast(dtype)
+def _g(rule: str, name: str) -> str:
+    return RULE[rule].group_sql(name, MSG)
 
 
-def _blank_to_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
+def _blank_to_null(sql: str) -> str:
+    return f"nullif({sql}, '')"
 
 
-def _to_int(c: Column) -> Column:
-    # ``cast`` raises under ANSI mode on '' or overflow; the reference's
+def _int(sql: str) -> str:
+    # ``cast`` raises under ANSI mode on '' or overflow; the original
     # non-ANSI cast gave null there, so does try_cast.
-    return F.try_cast(c, "int") if hasattr(F, "try_cast") else c.try_cast("int")
+    return f"try_cast({sql} AS INT)"
+
+
+def _is(category: str) -> str:
+    return f"{CAT} = {sql_literal(category)}"
 
 
-def _int_text(c: Column) -> Column:
-    return _to_int(c).cast("string")
+def _exprs(parts: dict[str, str]) -> dict[str, Column]:
+    return {name: F.expr(sql) for name, sql in parts.items()}
 
 
 # --- single-category extractions (the ``extract_*`` query outputs) ----------
 
-def pvp_parts(msg: Column) -> dict[str, Column]:
-    r = RULE["death"]
-    return {
-        "victim": r.group(msg, "victim"),
-        "killer": _blank_to_null(r.group(msg, "killer")),
-        "final_text": _blank_to_null(r.group(msg, "final_text")),
-    }
+def _xp_value() -> str:
+    return _int(f"coalesce({_blank_to_null(_g('xp_mid', 'xp'))}, {_g('xp_end', 'xp')})")
 
 
-def bed_parts(msg: Column) -> dict[str, Column]:
-    r = RULE["bed"]
-    return {"team": r.group(msg, "team"), "breaker": r.group(msg, "breaker")}
+def _lobby_action() -> str:
+    return f"CASE WHEN {_g('lobby', 'action')} = {sql_literal(LOBBY_JOIN_WORDS)} THEN 'join' ELSE 'leave' END"
 
 
-def team_parts(msg: Column) -> dict[str, Column]:
-    return {"team": RULE["team"].group(msg, "team")}
+def pvp_parts() -> dict[str, Column]:
+    return _exprs(
+        {
+            "victim": _g("death", "victim"),
+            "killer": _blank_to_null(_g("death", "killer")),
+            "final_text": _blank_to_null(_g("death", "final_text")),
+        }
+    )
+
 
+def bed_parts() -> dict[str, Column]:
+    return _exprs({"team": _g("bed", "team"), "breaker": _g("bed", "breaker")})
 
-def lobby_parts(msg: Column) -> dict[str, Column]:
-    r = RULE["lobby"]
-    return {
-        "player": r.group(msg, "player"),
-        "action": F.when(r.group(msg, "action") == LOBBY_JOIN_WORDS, F.lit("join")).otherwise(F.lit("leave")),
-        "cur": _to_int(r.group(msg, "cur")),
-        "max": _to_int(r.group(msg, "max")),
-    }
 
+def team_parts() -> dict[str, Column]:
+    return _exprs({"team": _g("team", "team")})
 
-def purchase_parts(msg: Column) -> dict[str, Column]:
-    return {"item": RULE["purchase"].group(msg, "item")}
 
+def lobby_parts() -> dict[str, Column]:
+    return _exprs(
+        {
+            "player": _g("lobby", "player"),
+            "action": _lobby_action(),
+            "cur": _int(_g("lobby", "cur")),
+            "max": _int(_g("lobby", "max")),
+        }
+    )
 
-def pickup_parts(msg: Column) -> dict[str, Column]:
-    r = RULE["pickup"]
-    return {"qty": _to_int(r.group(msg, "qty")), "resource": r.group(msg, "resource")}
 
+def purchase_parts() -> dict[str, Column]:
+    return _exprs({"item": _g("purchase", "item")})
 
-def xp_parts(msg: Column) -> dict[str, Column]:
-    mid = _blank_to_null(RULE["xp_mid"].group(msg, "xp"))
-    return {
-        "xp": _to_int(F.coalesce(mid, RULE["xp_end"].group(msg, "xp"))),
-        "kind": F.when(mid.isNotNull(), F.lit("mid")).otherwise(F.lit("end")),
-    }
 
+def pickup_parts() -> dict[str, Column]:
+    return _exprs({"qty": _int(_g("pickup", "qty")), "resource": _g("pickup", "resource")})
 
-def chat_parts(msg: Column) -> dict[str, Column]:
-    r = RULE["chat"]
-    return {"speaker": r.group(msg, "speaker"), "text": r.group(msg, "text")}
+
+def xp_parts() -> dict[str, Column]:
+    kind = f"CASE WHEN {_g('xp_mid', 'xp')} <> '' THEN 'mid' ELSE 'end' END"
+    return _exprs({"xp": _xp_value(), "kind": kind})
+
+
+def chat_parts() -> dict[str, Column]:
+    return _exprs({"speaker": _g("chat", "speaker"), "text": _g("chat", "text")})
 
 
 # --- contract columns -------------------------------------------------------
 
-def target(cat: Column, msg: Column) -> Column:
+def target() -> Column:
     """Victim of a death, or ``Time <colour>`` for a destroyed bed."""
-    return (
-        F.when(cat == "pvp", RULE["death"].group(msg, "victim"))
-        .when(cat == "bed_destroyed", F.concat(F.lit(TEAM_TARGET_PREFIX), RULE["bed"].group(msg, "team")))
-        .otherwise(_null("string"))
+    return F.expr(
+        f"CASE WHEN {_is('pvp')} THEN {_g('death', 'victim')} "
+        f"WHEN {_is('bed_destroyed')} THEN concat({sql_literal(TEAM_TARGET_PREFIX)}, {_g('bed', 'team')}) END"
     )
 
 
-def actor(cat: Column, msg: Column, protagonist: str) -> Column:
+def actor(protagonist: str) -> Column:
     """Killer, bed breaker, the log owner for economy and XP, lobby player."""
-    return (
-        F.when(cat == "pvp", _blank_to_null(RULE["death"].group(msg, "killer")))
-        .when(cat == "bed_destroyed", RULE["bed"].group(msg, "breaker"))
-        .when(cat.isin("purchase", "pickup", "xp"), F.lit(protagonist))
-        .when(cat == "lobby", RULE["lobby"].group(msg, "player"))
-        .otherwise(_null("string"))
+    return F.expr(
+        f"CASE WHEN {_is('pvp')} THEN {_blank_to_null(_g('death', 'killer'))} "
+        f"WHEN {_is('bed_destroyed')} THEN {_g('bed', 'breaker')} "
+        f"WHEN {CAT} IN ('purchase', 'pickup', 'xp') THEN {sql_literal(protagonist)} "
+        f"WHEN {_is('lobby')} THEN {_g('lobby', 'player')} END"
     )
 
 
-def detail(cat: Column, msg: Column) -> Column:
+def detail() -> Column:
     """Item; ``<n> x <resource>``; ``<n> XP (...)``; ``<cur>/<max>``."""
-    pickup, lobby = RULE["pickup"], RULE["lobby"]
-    xp_mid = _blank_to_null(RULE["xp_mid"].group(msg, "xp"))
-    xp_end = _blank_to_null(RULE["xp_end"].group(msg, "xp"))
-    return (
-        F.when(cat == "purchase", RULE["purchase"].group(msg, "item"))
-        .when(cat == "pickup", F.concat(pickup.group(msg, "qty"), F.lit(" x "), pickup.group(msg, "resource")))
-        .when(
-            cat == "xp",
-            F.coalesce(F.concat(xp_mid, F.lit(XP_MID_LABEL)), F.concat(xp_end, F.lit(XP_END_LABEL))),
-        )
-        .when(
-            cat == "lobby",
-            F.concat(_int_text(lobby.group(msg, "cur")), F.lit("/"), _int_text(lobby.group(msg, "max"))),
-        )
-        .otherwise(_null("string"))
+    xp = (
+        f"coalesce(concat({_blank_to_null(_g('xp_mid', 'xp'))}, {sql_literal(XP_MID_LABEL)}), "
+        f"concat({_blank_to_null(_g('xp_end', 'xp'))}, {sql_literal(XP_END_LABEL)}))"
+    )
+    lobby = (
+        f"concat(CAST({_int(_g('lobby', 'cur'))} AS STRING), '/', CAST({_int(_g('lobby', 'max'))} AS STRING))"
+    )
+    return F.expr(
+        f"CASE WHEN {_is('purchase')} THEN {_g('purchase', 'item')} "
+        f"WHEN {_is('pickup')} THEN concat({_g('pickup', 'qty')}, ' x ', {_g('pickup', 'resource')}) "
+        f"WHEN {_is('xp')} THEN {xp} "
+        f"WHEN {_is('lobby')} THEN {lobby} END"
     )
 
 
-def detail_name(cat: Column, msg: Column) -> Column:
+def detail_name() -> Column:
     """Typed companion of ``detail``: the name part."""
-    xp_mid = RULE["xp_mid"].group(msg, "xp")
-    return (
-        F.when(cat == "purchase", RULE["purchase"].group(msg, "item"))
-        .when(cat == "pickup", RULE["pickup"].group(msg, "resource"))
-        .when(cat == "xp", F.when(xp_mid != "", F.lit("mid")).otherwise(F.lit("end")))
-        .when(cat == "lobby", lobby_parts(msg)["action"])
-        .when(cat == "bed_destroyed", RULE["bed"].group(msg, "team"))
-        .when(cat == "team_eliminated", RULE["team"].group(msg, "team"))
-        .otherwise(_null("string"))
+    return F.expr(
+        f"CASE WHEN {_is('purchase')} THEN {_g('purchase', 'item')} "
+        f"WHEN {_is('pickup')} THEN {_g('pickup', 'resource')} "
+        f"WHEN {_is('xp')} THEN CASE WHEN {_g('xp_mid', 'xp')} <> '' THEN 'mid' ELSE 'end' END "
+        f"WHEN {_is('lobby')} THEN {_lobby_action()} "
+        f"WHEN {_is('bed_destroyed')} THEN {_g('bed', 'team')} "
+        f"WHEN {_is('team_eliminated')} THEN {_g('team', 'team')} END"
     )
 
 
-def detail_qty(cat: Column, msg: Column) -> Column:
+def detail_qty() -> Column:
     """Typed companion of ``detail``: the quantity part (int)."""
-    return (
-        F.when(cat == "pickup", _to_int(RULE["pickup"].group(msg, "qty")))
-        .when(cat == "xp", xp_parts(msg)["xp"])
-        .when(cat == "lobby", _to_int(RULE["lobby"].group(msg, "cur")))
-        .otherwise(_null("int"))
+    return F.expr(
+        f"CASE WHEN {_is('pickup')} THEN {_int(_g('pickup', 'qty'))} "
+        f"WHEN {_is('xp')} THEN {_xp_value()} "
+        f"WHEN {_is('lobby')} THEN {_int(_g('lobby', 'cur'))} END"
     )
 
 
-def is_final(msg: Column) -> Column:
+def is_final() -> Column:
     """Final-kill phrase or team-eliminated phrase anywhere in the message."""
-    return msg.contains(FINAL_KILL_PHRASE) | msg.contains(TEAM_ELIMINATED_PHRASE)
+    return F.expr(
+        f"contains({MSG}, {sql_literal(FINAL_KILL_PHRASE)}) OR contains({MSG}, {sql_literal(TEAM_ELIMINATED_PHRASE)})"
+    )
 
 
-def is_own(actor_col: Column, target_col: Column, msg: Column, protagonist: str, exact_name: bool = False) -> Column:
+def is_own(protagonist: str, exact_name: bool = False) -> Column:
     """Protagonist involved.  Three-valued on purpose: a null actor or target
     makes the comparison null, and null OR false stays null.
 
     The default name test is a plain prefix (a player whose name only starts
     with the protagonist's counts too); ``exact_name`` requires a word end.
     """
+    me = sql_literal(protagonist)
     if exact_name:
-        name_test = msg.rlike("^" + _quote_regex(protagonist) + r"(?![\p{L}\p{N}_])")
+        name_test = f"{MSG} RLIKE {sql_literal('^' + _quote_regex(protagonist) + r'(?![\p{L}\p{N}_])')}"
     else:
-        name_test = msg.startswith(protagonist)
-    return (
-        (actor_col == F.lit(protagonist))
-        | (target_col == F.lit(protagonist))
-        | msg.startswith(OWN_ACTION_PREFIX)
-        | name_test
+        name_test = f"startswith({MSG}, {me})"
+    return F.expr(
+        f"(actor = {me}) OR (target = {me}) OR startswith({MSG}, {sql_literal(OWN_ACTION_PREFIX)}) OR {name_test}"
     )
 
 

@@ -107,9 +107,9 @@ class Rule:
         tests.append(f"{message} RLIKE {sql_literal(self.pattern)}")
         return " AND ".join(tests)
 
-    def group(self, message: Column, name: str) -> Column:
-        """Capture group by name; ``''`` when the message does not match."""
-        return F.regexp_extract(message, self.pattern, self.groups.index(name) + 1)
+    def group_sql(self, name: str, message: str = "message") -> str:
+        """Capture group by name as SQL text (``''`` when there is no match)."""
+        return f"regexp_extract({message}, {sql_literal(self.pattern)}, {self.groups.index(name) + 1})"
 
 
 RULES: tuple[Rule, ...] = (

@@ -45,19 +45,16 @@ def classify_events(events: DataFrame, message: str = "message") -> DataFrame:
 
 def enrich(events: DataFrame, protagonist: str = DEFAULT_PROTAGONIST, *, exact_name: bool = False) -> DataFrame:
     """Classified events -> target, actor, detail, flags and typed details."""
-    msg, cat = F.col("message"), F.col("category")
     parts = events.select(
         "*",
-        en.target(cat, msg).alias("target"),
-        en.actor(cat, msg, protagonist).alias("actor"),
-        en.detail(cat, msg).alias("detail"),
-        en.is_final(msg).alias("is_final"),
-        en.detail_name(cat, msg).alias("detail_name"),
-        en.detail_qty(cat, msg).alias("detail_qty"),
-    )
-    return parts.withColumn(
-        "is_own", en.is_own(F.col("actor"), F.col("target"), msg, protagonist, exact_name=exact_name)
+        en.target().alias("target"),
+        en.actor(protagonist).alias("actor"),
+        en.detail().alias("detail"),
+        en.is_final().alias("is_final"),
+        en.detail_name().alias("detail_name"),
+        en.detail_qty().alias("detail_qty"),
     )
+    return parts.withColumn("is_own", en.is_own(protagonist, exact_name=exact_name))
 
 
 def build_events(

@@ -66,7 +66,7 @@ def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _by_category(spark: SparkSession, sf_dir: str, category: str, parts: Callable) -> DataFrame:
     c = _classified(spark, sf_dir).where(F.col("category") == category)
-    cols = parts(F.col("message"))
+    cols = parts()
     return c.select(F.col("line_no").alias("event_id"), *[v.alias(k) for k, v in cols.items()])
 
 
