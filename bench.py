@@ -14,9 +14,19 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from matchlog.plans.catalog import QUERIES, table  # noqa: E402
+from matchlog.operators.events import classify_events, enrich  # noqa: E402
+from matchlog.operators.framing import frame  # noqa: E402
+from matchlog.plans.catalog import QUERIES, events, log_lines, table  # noqa: E402
 from matchlog.session import local_session  # noqa: E402
 
+# Cumulative pipeline prefixes: each stage's time includes the ones before.
+STAGES = {
+    "render": lambda spark, d: log_lines(spark, d),
+    "frame": lambda spark, d: frame(log_lines(spark, d)),
+    "classify_enrich": lambda spark, d: enrich(classify_events(frame(log_lines(spark, d)))),
+    "segment": lambda spark, d: events(spark, d),
+}
+
 HEADLINE = (
     "build_event_table",
     "events_by_match_category",
@@ -35,9 +45,9 @@ HEADLINE = (
 )
 
 
-def run(spark, name: str, sf_dir: str) -> float:
+def run(spark, name: str, sf_dir: str, registry=QUERIES) -> float:
     t = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    registry[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t
 
 
@@ -49,7 +59,10 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     for name in names:  # warm-up
         run(spark, name, sf_dir)
+    for name in STAGES:
+        run(spark, name, sf_dir, STAGES)
     timings = {name: round(run(spark, name, sf_dir), 3) for name in names}
+    stages = {name: round(run(spark, name, sf_dir, STAGES), 3) for name in STAGES}
     total = round(sum(timings.values()), 3)
     etl = timings.get("build_event_table")
     print(
@@ -62,6 +75,8 @@ def main() -> None:
                 "sf": os.path.basename(sf_dir).removeprefix("sf"),
                 "log_lines": lines,
                 "etl_lines_per_sec": round(lines / etl, 1) if etl else None,
+                "stages_cumulative_sec": stages,
+                "stages_lines_per_sec": {k: round(lines / v, 1) for k, v in stages.items()},
                 "cpus": cpus,
             }
         )
