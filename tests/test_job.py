@@ -1,0 +1,25 @@
+"""The end-to-end job writes the event table and every mart."""
+
+import os
+import tempfile
+
+from matchlog.job import run_job
+
+
+def test_run_job(spark):
+    root = tempfile.mkdtemp(prefix="matchlog-job-")
+    logs = os.path.join(root, "logs")
+    os.makedirs(logs)
+    msgs = ["p9 entrou na sala (1/8).", "O jogo iniciou!", "ana morreu para p9. KILL FINAL!", "Você comprou Lã.",
+            "+2 Ferros", "+20 XP", "CAMA DESTRUÍDA » A Cama do Azul foi destruída por p9.", "[B] [x] ana: gg"]
+    text = "".join(f"[10:00:{i:02d}] [Client thread/INFO]: [CHAT] {m}\r\n" for i, m in enumerate(msgs))
+    with open(os.path.join(logs, "latest.log"), "wb") as f:
+        f.write(text.encode("cp1252"))
+    out = run_job(spark, [logs], os.path.join(root, "out"), protagonist="p9", csv=True)
+    assert spark.read.parquet(out["events"]).count() == len(msgs)
+    (s,) = spark.read.parquet(out["protagonist_summary"]).collect()
+    assert (s.kills, s.deaths, s.final_kills) == (1, 0, 1)
+    assert spark.read.parquet(out["beds_by_team"]).collect()[0].team == "Time Azul"
+    csv = spark.read.option("header", True).csv(out["events_csv"])
+    assert "categoria_evento" in csv.columns and csv.where("categoria_evento = 'PvP'").count() == 1
+    assert len([k for k in out if k not in ("events", "events_csv")]) == 17
