@@ -23,10 +23,18 @@ TEAM_COLOURS = ("Azul", "Verde", "Ciano", "Rosa")
 
 
 def _time_of_day_sql(dtype: T.DataType) -> str:
+    """``HH:mm:ss`` of ``ts`` independent of the session time zone.
+
+    ``date_format`` on a zone-less timestamp goes through the session zone and
+    shifts wall-clock times that fall into a daylight-saving gap; the field
+    functions do not.  Session-zone timestamps give their UTC wall clock.
+    """
     if isinstance(dtype, T.TimestampNTZType):
-        return "date_format(ts, 'HH:mm:ss')"
-    # Session-zone timestamps: render the UTC wall clock, whatever the zone.
-    return "date_format(to_utc_timestamp(ts, current_timezone()), 'HH:mm:ss')"
+        h, m, s = "hour(ts)", "minute(ts)", "second(ts)"
+    else:
+        day = "pmod(unix_seconds(ts), 86400)"
+        h, m, s = f"{day} div 3600", f"({day} div 60) % 60", f"{day} % 60"
+    return ", ':', ".join(f"lpad(CAST({x} AS STRING), 2, '0')" for x in (h, m, s)).join(("concat(", ")"))
 
 
 # One SQL expression (parsed once in the JVM) instead of a few hundred

@@ -116,3 +116,27 @@ def test_split_lines_like_a_file_reader(spark):
         6: [(0, "a"), (1, "b"), (2, "c"), (3, "d")],
         7: [(0, "a")],
     }
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_fixture_clock_ignores_session_zone(spark, zone):
+    import datetime as dt
+
+    from matchlog.sources.fixture import render_log
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = [(1, dt.datetime(2024, 3, 10, 2, 30, 15), 3, "view", 1.0, '{"k": 4}')]
+        ntz = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+        (r,) = render_log(ntz).collect()
+        assert r.value.startswith("[02:30:15] ")
+        aware = dt.datetime(2024, 1, 5, 23, 59, 58, tzinfo=dt.timezone.utc)
+        ltz = spark.createDataFrame(
+            [(1, aware, 3, "view", 1.0, '{"k": 4}')],
+            "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+        )
+        (r,) = render_log(ltz).collect()
+        assert r.value.startswith("[23:59:58] ")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
