@@ -19,7 +19,7 @@ from matchlog.operators.framing import frame  # noqa: E402
 from matchlog.plans.catalog import QUERIES, events, log_lines, table  # noqa: E402
 from matchlog.session import local_session  # noqa: E402
 
-# Cumulative pipeline prefixes: each stage's time includes the ones before.
+# Cumulative prefixes of the ETL: each stage's time includes the ones before.
 STAGES = {
     "render": lambda spark, d: log_lines(spark, d),
     "frame": lambda spark, d: frame(log_lines(spark, d)),
@@ -38,7 +38,7 @@ HEADLINE = (
     "xp_by_match",
     "resources_by_match",
     "events_by_category",
-    "pipeline_funnel",
+    "line_funnel",
     "segment_matches_global",
     "scan_lines",
     "decode_legacy_text",

@@ -149,7 +149,7 @@ def match_spans(ev: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_funnel(lines: DataFrame) -> DataFrame:
+def line_funnel(lines: DataFrame) -> DataFrame:
     """Lines, chat lines, events and matches in one pass over the lines.
 
     Every match id above 0 is opened by exactly one start marker, so the

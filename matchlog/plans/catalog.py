@@ -288,8 +288,8 @@ def match_spans(spark, sf_dir):
 
 
 @query
-def pipeline_funnel(spark, sf_dir):
-    return marts.pipeline_funnel(log_lines(spark, sf_dir))
+def line_funnel(spark, sf_dir):
+    return marts.line_funnel(log_lines(spark, sf_dir))
 
 
 @query

@@ -263,7 +263,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT log_id, match_id, COUNT(*) AS n, arg_min(event_time, line_no) AS first_time, "
             "arg_max(event_time, line_no) AS last_time FROM ev GROUP BY log_id, match_id"
         ),
-        "pipeline_funnel": _on_events(
+        "line_funnel": _on_events(
             "SELECT CAST(COUNT(*) AS BIGINT) AS lines, CAST(count_if(is_chat) AS BIGINT) AS chat_lines, "
             "CAST(count_if(is_event) AS BIGINT) AS events, "
             "CAST(count_if(is_event AND event_type = 'signup' AND s5 = 0) AS BIGINT) AS matches FROM lines"

@@ -16,7 +16,7 @@ def ev(spark):
 
 
 def test_funnel(spark):
-    (f,) = QUERIES["pipeline_funnel"](spark, SF_ORACLE).collect()
+    (f,) = QUERIES["line_funnel"](spark, SF_ORACLE).collect()
     assert (f.lines, f.chat_lines, f.events, f.matches) == (10_000, 9_090, 8_390, 358)
 
 

@@ -91,7 +91,7 @@ def test_empty_input_gives_empty_marts(spark):
 
 def test_funnel(spark):
     values = [chat_line("O jogo iniciou!"), "[12:00:00] [t]: chunk", "[CHAT]   ", chat_line("oi")]
-    (f,) = marts.pipeline_funnel(lines_df(spark, values)).collect()
+    (f,) = marts.line_funnel(lines_df(spark, values)).collect()
     assert (f.lines, f.chat_lines, f.events, f.matches) == (4, 3, 2, 1)
 
 
