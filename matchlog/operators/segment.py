@@ -15,7 +15,8 @@ sum in two phases, a textbook parallel scan:
    ``(group, chunk)``.
 
 The input is therefore read twice (the chunk totals need only the summed
-columns, Catalyst prunes the rest) but shuffled once.  Persist the input
+columns, Catalyst prunes the rest) but shuffled once -- the same trade as
+``zipWithIndex``, which counts partitions in a first job.  Persist the input
 first when it is expensive to recompute.  The offset table is small and its
 size is bounded by rows / ``chunk_rows``; the join is a plain equi-join that
 AQE turns into a broadcast only when the measured size is under the
