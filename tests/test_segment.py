@@ -86,3 +86,20 @@ def test_global_plan_single_partition_only_on_chunk_table(spark):
     for i in singles:
         assert any("HashAggregate" in ln for ln in _subtree(lines, i)), "only aggregated chunk totals are gathered"
     assert any("hashpartitioning(_chunk" in ln for ln in lines), "full rows are hash partitioned by chunk"
+
+
+def test_hot_log_is_split_into_bounded_chunks(spark):
+    """One log holding every row: per-log numbering still runs in chunks of at
+    most ``chunk_rows`` rows and equals the global numbering."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF_ORACLE
+    from matchlog.plans.catalog import _framed
+
+    hot = _framed(spark, SF_ORACLE).withColumn("log_id", F.lit(42).cast("long"))
+    per_log = assign_match_ids(hot, by_log=True, chunk_rows=500)
+    glob = assign_match_ids(hot, by_log=False, chunk_rows=1 << 18)
+    assert per_log.select("line_no", "match_id").exceptAll(glob.select("line_no", "match_id")).count() == 0
+    sizes = hot.groupBy(F.expr("line_no div 500").alias("c")).count()
+    assert sizes.agg(F.max("count")).collect()[0][0] <= 500
+    assert sizes.count() >= 15  # the hot log is spread over many window partitions
