@@ -43,7 +43,7 @@ def tree(df):
     return "\n".join(out)
 
 docs = []
-for name in ["build_event_table", "segment_matches_global", "kd_by_player", "top_killers", "events_by_category", "line_funnel", "scan_lines"]:
+for name in ["build_event_table", "pvp_log", "segment_matches_global", "kd_by_player", "top_killers", "events_by_category", "line_funnel", "scan_lines"]:
     docs.append((name, tree(c.QUERIES[name](spark, sf))))
 d = tempfile.mkdtemp(prefix="matchlog-plan-")
 open(os.path.join(d, "a.log"), "w").write("[10:00:00] [t]: [CHAT] O jogo iniciou!\n[10:00:01] [t]: [CHAT] oi\n")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import enrich as en
 from ..functions.once import select_once
-from ..functions.rules import classify
+from ..functions.rules import MATCH_START_MESSAGE, classify
 from .framing import frame
 from .segment import DEFAULT_CHUNK_ROWS, assign_match_ids
 
@@ -67,21 +67,34 @@ def build_events(
     by_log: bool = True,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     exact_name: bool = False,
+    categories: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """``lines(log_id, line_no, value)`` -> event table (``EVENT_COLUMNS``).
 
     ``with_match=False`` leaves ``match_id`` null and needs no shuffle.  When
     the lines already carry ``match_id`` (``read_logs(with_match_ids=True)``)
     it is kept and no second segmentation runs.
+
+    ``categories`` keeps only events of those categories.  Catalyst cannot
+    push such a filter below the match-id window, so it is applied here by
+    hand: a row's match id depends only on the start markers before it, so
+    only the wanted rows plus the marker rows enter the shuffle (the chunk
+    totals still count every marker), and the ids are unchanged.
     """
+    wanted = None if categories is None else F.col("category").isin(*categories)
     if "match_id" in lines.columns:
         framed = frame(lines, keep=("log_id", "line_no", "match_id"))
-        return enrich(classify_events(framed), protagonist, exact_name=exact_name).select(*EVENT_COLUMNS)
+        ev = enrich(classify_events(framed), protagonist, exact_name=exact_name)
+        return (ev if wanted is None else ev.where(wanted)).select(*EVENT_COLUMNS)
     framed = frame(lines)
     ev = enrich(classify_events(framed), protagonist, exact_name=exact_name)
     if with_match:
+        if wanted is not None:
+            ev = ev.where(wanted | (F.col("message") == F.lit(MATCH_START_MESSAGE)))
         # chunk totals come from the plain frame: no classification in that pass
         ev = assign_match_ids(ev, by_log=by_log, chunk_rows=chunk_rows, totals_from=framed)
     else:
         ev = ev.withColumn("match_id", F.lit(None).cast("long"))
+    if wanted is not None:
+        ev = ev.where(wanted)
     return ev.select(*EVENT_COLUMNS)

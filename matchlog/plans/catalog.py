@@ -224,7 +224,7 @@ def events_by_match_category(spark, sf_dir):
 
 @query
 def pvp_log(spark, sf_dir):
-    return marts.pvp_log(events(spark, sf_dir))
+    return marts.pvp_log(events(spark, sf_dir, categories=("pvp",)))
 
 
 @query
@@ -234,22 +234,22 @@ def protagonist_summary(spark, sf_dir):
 
 @query
 def purchase_log(spark, sf_dir):
-    return marts.purchase_log(events(spark, sf_dir))
+    return marts.purchase_log(events(spark, sf_dir, categories=("purchase",)))
 
 
 @query
 def bed_log(spark, sf_dir):
-    return marts.bed_log(events(spark, sf_dir))
+    return marts.bed_log(events(spark, sf_dir, categories=("bed_destroyed",)))
 
 
 @query
 def xp_log(spark, sf_dir):
-    return marts.xp_log(events(spark, sf_dir))
+    return marts.xp_log(events(spark, sf_dir, categories=("xp",)))
 
 
 @query
 def chat_log(spark, sf_dir):
-    return marts.chat_log(events(spark, sf_dir))
+    return marts.chat_log(events(spark, sf_dir, categories=("chat",)))
 
 
 @query
@@ -294,12 +294,12 @@ def line_funnel(spark, sf_dir):
 
 @query
 def xp_by_match(spark, sf_dir):
-    return marts.xp_by_match(events(spark, sf_dir))
+    return marts.xp_by_match(events(spark, sf_dir, categories=("xp",)))
 
 
 @query
 def resources_by_match(spark, sf_dir):
-    return marts.resources_by_match(events(spark, sf_dir))
+    return marts.resources_by_match(events(spark, sf_dir, categories=("pickup",)))
 
 
 @query

@@ -103,3 +103,16 @@ def test_hot_log_is_split_into_bounded_chunks(spark):
     sizes = hot.groupBy(F.expr("line_no div 500").alias("c")).count()
     assert sizes.agg(F.max("count")).collect()[0][0] <= 500
     assert sizes.count() >= 15  # the hot log is spread over many window partitions
+
+
+@pytest.mark.parametrize("cats", [("pvp",), ("chat", "xp"), ("match_start",)])
+def test_category_subset_keeps_match_ids(spark, cats):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_ORACLE
+    from matchlog.plans.catalog import events
+
+    full = events(spark, SF_ORACLE, chunk_rows=300).where(F.col("category").isin(*cats))
+    part = events(spark, SF_ORACLE, chunk_rows=300, categories=cats)
+    assert part.count() == full.count() > 0
+    assert part.exceptAll(full).count() == 0
