@@ -81,7 +81,9 @@ def running_totals(
         for key, expr in _null_safe_key(df, name, i):
             extra.append(expr.alias(key))
             keys.append(key)
-    chunk_expr = chunk if chunk is not None else F.expr(f"`{order_by}` div {int(chunk_rows)}")
+    # Non-null by construction (a null order key sorts first, so chunk 0), so
+    # no null filter is inferred on one side of the join only.
+    chunk_expr = chunk if chunk is not None else F.coalesce(F.expr(f"`{order_by}` div {int(chunk_rows)}"), F.lit(0))
     extra.append(chunk_expr.alias("_chunk"))
     names = list(sums)
     extra += [sums[name].alias(f"_v{j}") for j, name in enumerate(names)]
