@@ -10,14 +10,16 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from matchlog.operators.events import classify_events, enrich  # noqa: E402
+from matchlog.operators.events import build_events, classify_events, enrich  # noqa: E402
 from matchlog.operators.framing import frame  # noqa: E402
 from matchlog.plans.catalog import QUERIES, events, log_lines, table  # noqa: E402
 from matchlog.session import local_session  # noqa: E402
+from matchlog.sources.logs import read_logs  # noqa: E402
 
 # Cumulative prefixes of the ETL: each stage's time includes the ones before.
 STAGES = {
@@ -54,6 +56,25 @@ def run(spark, name: str, sf_dir: str, registry=QUERIES) -> float:
     return time.perf_counter() - t
 
 
+def write_raw_log(spark, sf_dir: str) -> str:
+    """Untimed setup: the rendered log as ONE text file (a single hot log)."""
+    out = os.path.join(tempfile.mkdtemp(prefix="matchlog-bench-"), "latest")
+    log_lines(spark, sf_dir).orderBy("line_no").select("value").coalesce(1).write.text(out)
+    return out
+
+
+def run_raw_log(spark, path: str) -> float:
+    """Raw text log -> event table: line numbers and match ids in one shuffle."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))  # several splits, as on a cluster
+    try:
+        t = time.perf_counter()
+        lines = read_logs(spark, path, charset="utf-8", with_match_ids=True)
+        build_events(lines).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -64,8 +85,11 @@ def main() -> None:
         run(spark, name, sf_dir)
     for name in STAGES:
         run(spark, name, sf_dir, STAGES)
+    raw_log = write_raw_log(spark, sf_dir)
+    run_raw_log(spark, raw_log)
     timings = {name: round(run(spark, name, sf_dir), 3) for name in names}
     stages = {name: round(run(spark, name, sf_dir, STAGES), 3) for name in STAGES}
+    raw = round(run_raw_log(spark, raw_log), 3)
     total = round(sum(timings.values()), 3)
     etl = timings.get("build_event_table")
     print(
@@ -81,6 +105,8 @@ def main() -> None:
                 "baseline_lines_per_sec": BASELINE_LINES_PER_SEC,
                 "etl_speedup_vs_baseline": round(lines / etl / BASELINE_LINES_PER_SEC, 1) if etl else None,
                 "stages_cumulative_sec": stages,
+                "raw_text_log_event_table_sec": raw,
+                "raw_text_log_lines_per_sec": round(lines / raw, 1),
                 "stages_lines_per_sec": {k: round(lines / v, 1) for k, v in stages.items()},
                 "cpus": cpus,
             }
