@@ -111,37 +111,69 @@ def chat_parts() -> dict[str, Column]:
 
 
 # --- contract columns -------------------------------------------------------
+#
+# Each row's captures are extracted once, by its own category's regex, into
+# one struct ``_cap`` (fields g1..g4); the contract columns are then plain
+# string operations on those fields.  Extracting inside every column's own
+# CASE would run the same regex up to five times per row: common
+# subexpression elimination does not reach into different CASE branches.
+
+CAPTURES = "_cap"
+_CAPTURE_GROUPS = (
+    ("pvp", "death", ("victim", "killer")),
+    ("bed_destroyed", "bed", ("team", "breaker")),
+    ("team_eliminated", "team", ("team",)),
+    ("lobby", "lobby", ("player", "action", "cur", "max")),
+    ("purchase", "purchase", ("item",)),
+    ("pickup", "pickup", ("qty", "resource")),
+)
+
+
+def _struct(values: list[str]) -> str:
+    values = values + ["CAST(NULL AS STRING)"] * (4 - len(values))
+    return "named_struct(" + ", ".join(f"'g{i + 1}', {v}" for i, v in enumerate(values)) + ")"
+
+
+def captures() -> Column:
+    """Per-category capture groups as ``struct<g1..g4: string>`` (null for
+    categories without captures)."""
+    branches = [f"WHEN {_is(cat)} THEN {_struct([_g(rule, f) for f in fields])}" for cat, rule, fields in _CAPTURE_GROUPS]
+    branches.append(f"WHEN {_is('xp')} THEN {_struct([_g('xp_mid', 'xp'), _g('xp_end', 'xp')])}")
+    return F.expr("CASE " + " ".join(branches) + " END")
+
+
+def _c(i: int) -> str:
+    return f"{CAPTURES}.g{i}"
+
 
 def target() -> Column:
     """Victim of a death, or ``Time <colour>`` for a destroyed bed."""
     return F.expr(
-        f"CASE WHEN {_is('pvp')} THEN {_g('death', 'victim')} "
-        f"WHEN {_is('bed_destroyed')} THEN concat({sql_literal(TEAM_TARGET_PREFIX)}, {_g('bed', 'team')}) END"
+        f"CASE WHEN {_is('pvp')} THEN {_c(1)} "
+        f"WHEN {_is('bed_destroyed')} THEN concat({sql_literal(TEAM_TARGET_PREFIX)}, {_c(1)}) END"
     )
 
 
 def actor(protagonist: str) -> Column:
     """Killer, bed breaker, the log owner for economy and XP, lobby player."""
     return F.expr(
-        f"CASE WHEN {_is('pvp')} THEN {_blank_to_null(_g('death', 'killer'))} "
-        f"WHEN {_is('bed_destroyed')} THEN {_g('bed', 'breaker')} "
+        f"CASE WHEN {_is('pvp')} THEN {_blank_to_null(_c(2))} "
+        f"WHEN {_is('bed_destroyed')} THEN {_c(2)} "
         f"WHEN {CAT} IN ('purchase', 'pickup', 'xp') THEN {sql_literal(protagonist)} "
-        f"WHEN {_is('lobby')} THEN {_g('lobby', 'player')} END"
+        f"WHEN {_is('lobby')} THEN {_c(1)} END"
     )
 
 
 def detail() -> Column:
     """Item; ``<n> x <resource>``; ``<n> XP (...)``; ``<cur>/<max>``."""
     xp = (
-        f"coalesce(concat({_blank_to_null(_g('xp_mid', 'xp'))}, {sql_literal(XP_MID_LABEL)}), "
-        f"concat({_blank_to_null(_g('xp_end', 'xp'))}, {sql_literal(XP_END_LABEL)}))"
-    )
-    lobby = (
-        f"concat(CAST({_int(_g('lobby', 'cur'))} AS STRING), '/', CAST({_int(_g('lobby', 'max'))} AS STRING))"
+        f"coalesce(concat({_blank_to_null(_c(1))}, {sql_literal(XP_MID_LABEL)}), "
+        f"concat({_blank_to_null(_c(2))}, {sql_literal(XP_END_LABEL)}))"
     )
+    lobby = f"concat(CAST({_int(_c(3))} AS STRING), '/', CAST({_int(_c(4))} AS STRING))"
     return F.expr(
-        f"CASE WHEN {_is('purchase')} THEN {_g('purchase', 'item')} "
-        f"WHEN {_is('pickup')} THEN concat({_g('pickup', 'qty')}, ' x ', {_g('pickup', 'resource')}) "
+        f"CASE WHEN {_is('purchase')} THEN {_c(1)} "
+        f"WHEN {_is('pickup')} THEN concat({_c(1)}, ' x ', {_c(2)}) "
         f"WHEN {_is('xp')} THEN {xp} "
         f"WHEN {_is('lobby')} THEN {lobby} END"
     )
@@ -150,21 +182,20 @@ def detail() -> Column:
 def detail_name() -> Column:
     """Typed companion of ``detail``: the name part."""
     return F.expr(
-        f"CASE WHEN {_is('purchase')} THEN {_g('purchase', 'item')} "
-        f"WHEN {_is('pickup')} THEN {_g('pickup', 'resource')} "
-        f"WHEN {_is('xp')} THEN CASE WHEN {_g('xp_mid', 'xp')} <> '' THEN 'mid' ELSE 'end' END "
-        f"WHEN {_is('lobby')} THEN {_lobby_action()} "
-        f"WHEN {_is('bed_destroyed')} THEN {_g('bed', 'team')} "
-        f"WHEN {_is('team_eliminated')} THEN {_g('team', 'team')} END"
+        f"CASE WHEN {_is('purchase')} THEN {_c(1)} "
+        f"WHEN {_is('pickup')} THEN {_c(2)} "
+        f"WHEN {_is('xp')} THEN CASE WHEN {_c(1)} <> '' THEN 'mid' ELSE 'end' END "
+        f"WHEN {_is('lobby')} THEN CASE WHEN {_c(2)} = {sql_literal(LOBBY_JOIN_WORDS)} THEN 'join' ELSE 'leave' END "
+        f"WHEN {CAT} IN ('bed_destroyed', 'team_eliminated') THEN {_c(1)} END"
     )
 
 
 def detail_qty() -> Column:
     """Typed companion of ``detail``: the quantity part (int)."""
     return F.expr(
-        f"CASE WHEN {_is('pickup')} THEN {_int(_g('pickup', 'qty'))} "
-        f"WHEN {_is('xp')} THEN {_xp_value()} "
-        f"WHEN {_is('lobby')} THEN {_int(_g('lobby', 'cur'))} END"
+        f"CASE WHEN {_is('pickup')} THEN {_int(_c(1))} "
+        f"WHEN {_is('xp')} THEN {_int(f'coalesce({_blank_to_null(_c(1))}, {_c(2)})')} "
+        f"WHEN {_is('lobby')} THEN {_int(_c(3))} END"
     )
 
 

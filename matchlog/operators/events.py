@@ -45,10 +45,12 @@ def classify_events(events: DataFrame, message: str = "message") -> DataFrame:
 
 def enrich(events: DataFrame, protagonist: str = DEFAULT_PROTAGONIST, *, exact_name: bool = False) -> DataFrame:
     """Classified events -> target, actor, detail, flags and typed details."""
-    # A plain projection: a filter on these columns pushed below it copies one
-    # category-guarded extraction, which costs less than a per-row generator.
-    parts = events.select(
-        "*",
+    # Captures once per row (one regex run per capture group), then plain
+    # string operations; a filter on these columns pushed below the
+    # projection copies only those cheap operations.
+    staged = events.select("*", en.captures().alias(en.CAPTURES))
+    parts = staged.select(
+        *events.columns,
         en.target().alias("target"),
         en.actor(protagonist).alias("actor"),
         en.detail().alias("detail"),
