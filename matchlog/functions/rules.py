@@ -72,7 +72,7 @@ class Rule:
 
     ``equals`` makes the rule an exact string comparison; otherwise
     ``pattern`` is a regex.  ``starts``/``contains`` are literal guards that
-    every match of the pattern satisfies.
+    every match of the pattern satisfies; they are tested before the regex.
     """
 
     name: str
@@ -83,18 +83,6 @@ class Rule:
     starts: str | None = None
     contains: str | None = None
 
-    def matches(self, message: Column) -> Column:
-        if self.equals is not None:
-            return message == F.lit(self.equals)
-        cond = message.rlike(self.pattern)
-        guard = None
-        if self.starts is not None:
-            guard = message.startswith(self.starts)
-        if self.contains is not None:
-            c = message.contains(self.contains)
-            guard = c if guard is None else guard & c
-        return cond if guard is None else guard & cond
-
     def matches_sql(self, message: str) -> str:
         """The same test as SQL text over the SQL expression ``message``."""
         if self.equals is not None:
@@ -151,4 +139,4 @@ def classify(message: str = "message", rules: tuple[Rule, ...] = RULES) -> Colum
 
 def is_match_start(message: Column) -> Column:
     """1 for the exact start marker, else 0 (``null`` only for a null message)."""
-    return RULE["start"].matches(message).cast("int")
+    return (message == F.lit(MATCH_START_MESSAGE)).cast("int")
