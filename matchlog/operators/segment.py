@@ -63,6 +63,7 @@ def running_totals(
     chunk: Column | None = None,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     totals_from: DataFrame | None = None,
+    levels: int = 2,
 ) -> DataFrame:
     """Add inclusive running sums per ``by`` group in ``order_by`` order.
 
@@ -71,6 +72,11 @@ def running_totals(
     ``order_by div chunk_rows``.  ``totals_from`` is an optional cheaper
     input with the same rows and sum values (e.g. ``df`` before expensive
     columns were added); the chunk totals are aggregated from it.
+
+    ``levels=2`` runs the prefix sum over the chunk table with the same
+    two-phase scheme, so no task ever orders more than rows / chunk_rows^2
+    chunk rows (numeric order keys) or the splits of one file (a struct chunk
+    whose first field is the split).
     """
     if chunk_rows <= 0:
         raise ValueError("chunk_rows must be positive")
@@ -88,22 +94,55 @@ def running_totals(
     names = list(sums)
     extra += [sums[name].alias(f"_v{j}") for j, name in enumerate(names)]
     staged = df.select("*", *extra)
-    source = staged if totals_from is None else totals_from.select("*", *extra)
+    source = None if totals_from is None else totals_from.select("*", *extra)
+    out = _prefix(staged, keys, order_by, len(names), chunk_rows, levels, source)
+    return out.select(*original, *[F.col(f"_s{j}").alias(name) for j, name in enumerate(names)])
+
+
+def _coarser(chunk: Column, dtype: T.DataType, chunk_rows: int) -> Column:
+    """The chunk of a chunk: a run of consecutive chunk keys."""
+    if isinstance(dtype, T.StructType):
+        return chunk.getField(dtype.fields[0].name)
+    return F.coalesce(F.floor(chunk / F.lit(chunk_rows)).cast("long"), F.lit(0))
+
 
+def _prefix(
+    staged: DataFrame,
+    keys: list[str],
+    order_by: str,
+    n: int,
+    chunk_rows: int,
+    levels: int,
+    source: DataFrame | None = None,
+) -> DataFrame:
+    """``staged`` (keys, ``_chunk``, ``order_by``, ``_v*``) + inclusive ``_s*``."""
     part = [*keys, "_chunk"]
     inside = Window.partitionBy(*part).orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = staged.select("*", *[F.sum(f"_v{j}").over(inside).alias(f"_r{j}") for j in range(len(names))])
+    local = staged.select("*", *[F.sum(f"_v{j}").over(inside).alias(f"_r{j}") for j in range(n)])
 
-    totals = source.groupBy(*part).agg(*[F.sum(f"_v{j}").alias(f"_t{j}") for j in range(len(names))])
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *part,
-        *[F.coalesce(F.sum(f"_t{j}").over(before), F.lit(0)).cast("long").alias(f"_o{j}") for j in range(len(names))],
+    totals = (staged if source is None else source).groupBy(*part).agg(
+        *[F.sum(f"_v{j}").alias(f"_v{j}") for j in range(n)]
     )
+    if levels <= 1:
+        before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(
+            *part,
+            *[F.coalesce(F.sum(f"_v{j}").over(before), F.lit(0)).cast("long").alias(f"_o{j}") for j in range(n)],
+        )
+    else:
+        # The chunk table is itself a running-sum problem: chunk it again.
+        coarse = _coarser(F.col("_chunk"), totals.schema["_chunk"].dataType, chunk_rows)
+        inner = totals.select(*keys, F.col("_chunk").alias("_ord"), coarse.alias("_chunk"), *[f"_v{j}" for j in range(n)])
+        ranked = _prefix(inner, keys, "_ord", n, chunk_rows, levels - 1)
+        offsets = ranked.select(
+            *keys,
+            F.col("_ord").alias("_chunk"),
+            *[(F.col(f"_s{j}") - F.col(f"_v{j}")).cast("long").alias(f"_o{j}") for j in range(n)],
+        )
     joined = local.join(offsets, on=part, how="inner")
     return joined.select(
-        *original,
-        *[(F.col(f"_o{j}") + F.col(f"_r{j}")).cast("long").alias(name) for j, name in enumerate(names)],
+        *staged.columns,
+        *[(F.col(f"_o{j}") + F.col(f"_r{j}")).cast("long").alias(f"_s{j}") for j in range(n)],
     )
 
 

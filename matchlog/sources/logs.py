@@ -73,7 +73,7 @@ def read_logs(
     # Chunk = a run of at most ``chunk_rows`` consecutive lines of one split
     # (ids are consecutive inside a split), so a 128 MB split is not one
     # window partition either.
-    chunk = F.struct(F.col("_split"), F.expr(f"_pos div {int(chunk_rows)}"))
+    chunk = F.struct(F.col("_split").alias("split"), F.expr(f"_pos div {int(chunk_rows)}").alias("run"))
     numbered = running_totals(scanned, order_by="_pos", sums=sums, by=["log_id"], chunk=chunk)
     out = [F.col("log_id"), (F.col("_line") - 1).alias("line_no"), F.col("value")]
     if with_match_ids:
