@@ -63,7 +63,7 @@ def running_totals(
     chunk: Column | None = None,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     totals_from: DataFrame | None = None,
-    levels: int = 2,
+    levels: int = 1,
 ) -> DataFrame:
     """Add inclusive running sums per ``by`` group in ``order_by`` order.
 
@@ -73,10 +73,13 @@ def running_totals(
     input with the same rows and sum values (e.g. ``df`` before expensive
     columns were added); the chunk totals are aggregated from it.
 
+    With ``levels=1`` one task per group orders that group's chunk table,
+    rows / ``chunk_rows`` rows (about 4 million small rows for 10^12 rows).
     ``levels=2`` runs the prefix sum over the chunk table with the same
-    two-phase scheme, so no task ever orders more than rows / chunk_rows^2
-    chunk rows (numeric order keys) or the splits of one file (a struct chunk
-    whose first field is the split).
+    two-phase scheme, so no task orders more than rows / chunk_rows^2 chunk
+    rows (numeric order keys) or the splits of one file (a struct chunk whose
+    first field is the split); it adds a few small stages, so it is meant for
+    inputs well beyond 10^12 rows.
     """
     if chunk_rows <= 0:
         raise ValueError("chunk_rows must be positive")
@@ -155,6 +158,7 @@ def assign_match_ids(
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     message: str = "message",
     totals_from: DataFrame | None = None,
+    levels: int = 1,
 ) -> DataFrame:
     """``match_id`` = running count of start markers in line order.
 
@@ -168,4 +172,5 @@ def assign_match_ids(
         by=[log] if by_log else [],
         chunk_rows=chunk_rows,
         totals_from=totals_from,
+        levels=levels,
     )

@@ -51,6 +51,7 @@ def read_logs(
     charset: str = "cp1252",
     with_match_ids: bool = False,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    levels: int = 1,
 ) -> DataFrame:
     """Text logs -> ``lines(log_id string, line_no bigint, value string)``.
 
@@ -74,7 +75,7 @@ def read_logs(
     # (ids are consecutive inside a split), so a 128 MB split is not one
     # window partition either.
     chunk = F.struct(F.col("_split").alias("split"), F.expr(f"_pos div {int(chunk_rows)}").alias("run"))
-    numbered = running_totals(scanned, order_by="_pos", sums=sums, by=["log_id"], chunk=chunk)
+    numbered = running_totals(scanned, order_by="_pos", sums=sums, by=["log_id"], chunk=chunk, levels=levels)
     out = [F.col("log_id"), (F.col("_line") - 1).alias("line_no"), F.col("value")]
     if with_match_ids:
         out.append(F.col("match_id"))

@@ -24,12 +24,14 @@ def make_rows(seed, n=400, logs=(1, 2, 3, None)):
     return [(rnd.choice(logs), ln, START if rnd.random() < 0.1 else "x") for ln in lines]
 
 
+@pytest.mark.parametrize("levels", [1, 2])
 @pytest.mark.parametrize("chunk_rows", [1, 7, 64, 1 << 18])
 @pytest.mark.parametrize("by_log", [True, False])
-def test_matches_brute_force(spark, chunk_rows, by_log):
+def test_matches_brute_force(spark, chunk_rows, by_log, levels):
     rows = make_rows(chunk_rows)
     df = spark.createDataFrame(rows, "log_id long, line_no long, message string")
-    got = {(r.log_id, r.line_no): r.match_id for r in assign_match_ids(df, by_log=by_log, chunk_rows=chunk_rows).collect()}
+    ids = assign_match_ids(df, by_log=by_log, chunk_rows=chunk_rows, levels=levels)
+    got = {(r.log_id, r.line_no): r.match_id for r in ids.collect()}
     assert got == brute(rows, by_log)
 
 
@@ -78,9 +80,10 @@ def _subtree(lines, i):
     return out
 
 
-def test_global_plan_single_partition_only_on_chunk_table(spark):
+@pytest.mark.parametrize("levels", [1, 2])
+def test_global_plan_single_partition_only_on_chunk_table(spark, levels):
     df = spark.createDataFrame(make_rows(2), "log_id long, line_no long, message string")
-    lines = _exchanges(assign_match_ids(df, by_log=False)).split("\n")
+    lines = _exchanges(assign_match_ids(df, by_log=False, levels=levels)).split("\n")
     singles = [i for i, ln in enumerate(lines) if "SinglePartition" in ln]
     assert singles, "global numbering orders the chunk table in one partition"
     for i in singles:

@@ -36,11 +36,11 @@ def log_dir():
     return d
 
 
-@pytest.mark.parametrize("chunk_rows", [7, 1 << 18])
-def test_read_logs_orders_lines_across_splits(spark, log_dir, chunk_rows):
+@pytest.mark.parametrize("chunk_rows,levels", [(7, 1), (7, 2), (1 << 18, 1)])
+def test_read_logs_orders_lines_across_splits(spark, log_dir, chunk_rows, levels):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        lines = read_logs(spark, log_dir, chunk_rows=chunk_rows)
+        lines = read_logs(spark, log_dir, chunk_rows=chunk_rows, levels=levels)
         assert lines.rdd.getNumPartitions() >= 1
         rows = lines.collect()
     finally:
