@@ -65,3 +65,12 @@ def test_invariants(spark, ev):
     d = QUERIES["decode_legacy_text"](spark, SF_ORACLE)
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text")
     assert d.exceptAll(docs).count() == 0
+
+
+def test_message_prefixes(ev):
+    (r,) = ev.agg(
+        F.count_if(F.col("message").startswith("Você")).alias("voce"),
+        F.count_if(F.col("message").startswith("p7")).alias("p7"),
+        F.count_if(F.col("message").rlike(r"^p7(?![\p{L}\p{N}_])")).alias("p7_word"),
+    ).collect()
+    assert (r.voce, r.p7, r.p7_word) == (1996, 229, 170)
