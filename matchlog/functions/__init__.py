@@ -1,0 +1 @@
+"""Column expressions: charset decode, framing, the rule pack, enrichment."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: framing, segmentation, event table, marts."""

@@ -1,0 +1 @@
+"""Registered queries, their DuckDB oracle and the comparison tool."""

@@ -1,0 +1 @@
+"""Incremental ingestion of new log files with Structured Streaming."""
