@@ -10,15 +10,15 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from matchlog.operators.events import build_events, classify_events, enrich  # noqa: E402
 from matchlog.operators.framing import frame  # noqa: E402
 from matchlog.plans.catalog import QUERIES, events, log_lines, table  # noqa: E402
-from matchlog.session import local_session  # noqa: E402
+from matchlog.session import ensure_checkpoint_dir, local_session  # noqa: E402
 from matchlog.sources.logs import read_logs  # noqa: E402
 
 # Cumulative prefixes of the ETL: each stage's time includes the ones before.
@@ -57,8 +57,10 @@ def run(spark, name: str, sf_dir: str, registry=QUERIES) -> float:
 
 
 def write_raw_log(spark, sf_dir: str) -> str:
-    """Untimed setup: the rendered log as ONE text file (a single hot log)."""
-    out = os.path.join(tempfile.mkdtemp(prefix="matchlog-bench-"), "latest")
+    """Untimed setup: the rendered log as ONE text file (a single hot log),
+    written under the session's checkpoint folder (shared storage on a
+    cluster; set only when unset)."""
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/matchlog-bench-{uuid.uuid4().hex}/latest"
     log_lines(spark, sf_dir).orderBy("line_no").select("value").coalesce(1).write.text(out)
     return out
 
