@@ -74,8 +74,11 @@ def build_events(
     """``lines(log_id, line_no, value)`` -> event table (``EVENT_COLUMNS``).
 
     ``with_match=False`` leaves ``match_id`` null and needs no shuffle.  When
-    the lines already carry ``match_id`` (``read_logs(with_match_ids=True)``)
-    it is kept and no second segmentation runs.
+    the lines already carry per-log ``match_id`` (``read_logs`` computes them
+    in its numbering pass) they are kept and no second segmentation runs;
+    with ``by_log=False`` they are recomputed over all rows in ``line_no``
+    order, which needs ``line_no`` to be one order across logs (as in the
+    rendered fixture log; ``read_logs`` numbers lines per file).
 
     ``categories`` keeps only events of those categories.  Catalyst cannot
     push such a filter below the match-id window, so it is applied here by
@@ -84,6 +87,8 @@ def build_events(
     totals still count every marker), and the ids are unchanged.
     """
     wanted = None if categories is None else F.col("category").isin(*categories)
+    if "match_id" in lines.columns and not (with_match and by_log):
+        lines = lines.drop("match_id")  # carried ids are per log: recompute as asked
     if "match_id" in lines.columns:
         framed = frame(lines, keep=("log_id", "line_no", "match_id"))
         ev = enrich(classify_events(framed), protagonist, exact_name=exact_name)

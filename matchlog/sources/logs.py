@@ -15,9 +15,9 @@ running count of lines over that key -- computed with the same two-phase
 chunked scan as the match ids, using runs of consecutive lines inside a
 split as the chunks.
 
-``with_match_ids=True`` computes the per-log match id in that same pass (a
-second running sum over the same key), so raw logs reach the event table
-with one shuffle of the lines instead of two.
+The per-log match id is computed in that same pass (a second running sum
+over the same key), so raw logs reach the event table with one shuffle of
+the lines instead of two.
 """
 
 from __future__ import annotations
@@ -49,13 +49,16 @@ def read_logs(
     paths: str | Sequence[str],
     *,
     charset: str = "cp1252",
-    with_match_ids: bool = False,
+    with_match_ids: bool = True,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     levels: int = 1,
 ) -> DataFrame:
-    """Text logs -> ``lines(log_id string, line_no bigint, value string)``.
+    """Text logs -> ``lines(log_id string, line_no bigint, value string,
+    match_id bigint)``.
 
-    With ``with_match_ids`` the lines also carry ``match_id`` (per log).
+    ``match_id`` (per log) is computed in the numbering pass; with
+    ``with_match_ids=False`` it is left out (e.g. to number matches across all
+    files with ``build_events(by_log=False)``).
     """
     if charset not in CHARSETS:
         raise ValueError(f"charset must be one of {CHARSETS}")

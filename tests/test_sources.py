@@ -91,7 +91,7 @@ def test_match_ids_in_the_read_pass_equal_segmentation(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
         one = build_events(read_logs(spark, str(tmp_path), with_match_ids=True, chunk_rows=5))
-        two = build_events(read_logs(spark, str(tmp_path)), chunk_rows=50)
+        two = build_events(read_logs(spark, str(tmp_path), with_match_ids=False), chunk_rows=50)
         a = sorted((r.log_id, r.line_no, r.match_id) for r in one.collect())
         b = sorted((r.log_id, r.line_no, r.match_id) for r in two.collect())
     finally:
@@ -140,3 +140,18 @@ def test_fixture_clock_ignores_session_zone(spark, zone):
         assert r.value.startswith("[23:59:58] ")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_global_numbering_recomputes_carried_ids(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from matchlog.operators.events import build_events
+
+    (tmp_path / "a.log").write_bytes("[CHAT] O jogo iniciou!\n[CHAT] oi\n[CHAT] O jogo iniciou!\n".encode("cp1252"))
+    lines = read_logs(spark, str(tmp_path))
+    assert "match_id" in lines.columns
+    # carried ids replaced: a recomputed global numbering with a shifted order
+    shifted = lines.withColumn("line_no", F.col("line_no") + 1000)
+    glob = sorted((r.line_no, r.match_id) for r in build_events(shifted, by_log=False).collect())
+    assert glob == [(1000, 1), (1001, 1), (1002, 2)]
+    assert build_events(lines, with_match=False).where("match_id is not null").count() == 0
