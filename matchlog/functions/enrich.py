@@ -1,9 +1,10 @@
 """Business columns derived from ``category`` and ``message``.
 
-Every extraction sits inside the branch of its own category, so a regex only
-runs on the rows it can match (classify first, extract second).  Where the
-same capture is needed as a test and as a value, ``nullif`` folds both into
-one evaluation.
+Classify first, extract second: a row's capture groups are extracted by its
+own category's regex only, once, into the ``_cap`` struct (``captures``);
+the contract columns are string operations on that struct.  The
+``*_parts`` functions give the same captures as named columns for the
+single-category ``extract_*`` queries.
 
 The columns are generated as SQL text from the rule pack and parsed once in
 the JVM (one call per column instead of one per operand).
