@@ -58,7 +58,7 @@ rendered AS (
 ),
 lines AS (
   SELECT *, user_id AS log_id, event_id AS line_no,
-    strftime(ts, '%H:%M:%S') AS event_time,
+    coalesce(strftime(ts, '%H:%M:%S'), '') AS event_time,
     concat('[', strftime(ts, '%H:%M:%S'), '] [Client thread/INFO]: ',
            CASE WHEN event_id % 11 = 0 THEN concat('chunk ', k)
                 WHEN event_id % 13 = 0 THEN '[CHAT]   '

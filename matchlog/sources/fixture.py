@@ -34,48 +34,51 @@ def _time_of_day_sql(dtype: T.DataType) -> str:
     else:
         day = "pmod(unix_seconds(ts), 86400)"
         h, m, s = f"{day} div 3600", f"({day} div 60) % 60", f"{day} % 60"
+    # plain ``concat``: a null clock stays null (and renders as ``[]``)
     return ", ':', ".join(f"lpad(CAST({x} AS STRING), 2, '0')" for x in (h, m, s)).join(("concat(", ")"))
 
 
 # One SQL expression (parsed once in the JVM) instead of a few hundred
 # Column calls: the body of a rendered line, FIXTURES.md section 3.
+# ``concat_ws('', ...)`` skips null parts (a missing clock renders as
+# ``[]``), so no row is lost to a null field.
 _MESSAGE_SQL = """
 CASE event_type
   WHEN 'signup' THEN CASE event_id % 5
     WHEN 0 THEN 'O jogo iniciou!'
-    WHEN 1 THEN concat('O jogo inicia em ', k, ' segundos!')
-    WHEN 2 THEN concat('p', k, ' entrou na sala (', k % 8 + 1, '/8).')
-    WHEN 3 THEN concat('p', k, ' saiu da sala (', k % 8 + 1, '/8).')
-    ELSE concat('Bem-vindo ao servidor ', k) END
+    WHEN 1 THEN concat_ws('', 'O jogo inicia em ', k, ' segundos!')
+    WHEN 2 THEN concat_ws('', 'p', k, ' entrou na sala (', k % 8 + 1, '/8).')
+    WHEN 3 THEN concat_ws('', 'p', k, ' saiu da sala (', k % 8 + 1, '/8).')
+    ELSE concat_ws('', 'Bem-vindo ao servidor ', k) END
   WHEN 'purchase' THEN CASE WHEN event_id % 4 = 3 THEN 'Você não tem recursos o suficiente.'
-    ELSE concat('Você comprou Item ', k % 10, ' (Nível ', k % 3, ').') END
-  WHEN 'click' THEN concat(
-    CASE WHEN k % 10 = 0 THEN 'p7' ELSE concat('u', user_id) END,
+    ELSE concat_ws('', 'Você comprou Item ', k % 10, ' (Nível ', k % 3, ').') END
+  WHEN 'click' THEN concat_ws('', 
+    CASE WHEN k % 10 = 0 THEN 'p7' ELSE concat_ws('', 'u', user_id) END,
     CASE event_id % 5
-      WHEN 0 THEN concat(' morreu para p', k % 20, '.')
-      WHEN 1 THEN concat(' morreu no void para p', k % 20, '.')
+      WHEN 0 THEN concat_ws('', ' morreu para p', k % 20, '.')
+      WHEN 1 THEN concat_ws('', ' morreu no void para p', k % 20, '.')
       WHEN 2 THEN ' morreu no void.'
-      WHEN 3 THEN concat(' morreu para p', k % 20, '. KILL FINAL!')
-      ELSE concat(' morreu para p', k % 20, '. PRIMEIRA KILL FINAL!') END)
+      WHEN 3 THEN concat_ws('', ' morreu para p', k % 20, '. KILL FINAL!')
+      ELSE concat_ws('', ' morreu para p', k % 20, '. PRIMEIRA KILL FINAL!') END)
   WHEN 'view' THEN CASE event_id % 5
-    WHEN 0 THEN concat('+', k + 1, ' Ferros')
-    WHEN 1 THEN concat('+', k + 1, ' Ouro')
-    WHEN 2 THEN concat('+', k + 1, ' XP (Double XP)')
-    WHEN 3 THEN concat('+', k + 1, ' XP')
-    ELSE concat('Você ganhou ', k + 1, ' de XP nessa partida!') END
+    WHEN 0 THEN concat_ws('', '+', k + 1, ' Ferros')
+    WHEN 1 THEN concat_ws('', '+', k + 1, ' Ouro')
+    WHEN 2 THEN concat_ws('', '+', k + 1, ' XP (Double XP)')
+    WHEN 3 THEN concat_ws('', '+', k + 1, ' XP')
+    ELSE concat_ws('', 'Você ganhou ', k + 1, ' de XP nessa partida!') END
   WHEN 'error' THEN CASE event_id % 4
-    WHEN 0 THEN concat('CAMA DESTRUÍDA » A Cama do ', element_at(array{colours}, int(k % 4) + 1),
+    WHEN 0 THEN concat_ws('', 'CAMA DESTRUÍDA » A Cama do ', element_at(array{colours}, int(k % 4) + 1),
                        ' foi destruída por p', k % 20, '.')
-    WHEN 1 THEN concat('TIME ELIMINADO » O Time ', element_at(array{colours}, int(k % 4) + 1), ' foi eliminado.')
-    WHEN 2 THEN concat('[B] [', k, '?] u', user_id, ': gg ', k)
-    ELSE concat(' - aviso ', k) END
-  ELSE concat('evento ', event_type)
+    WHEN 1 THEN concat_ws('', 'TIME ELIMINADO » O Time ', element_at(array{colours}, int(k % 4) + 1), ' foi eliminado.')
+    WHEN 2 THEN concat_ws('', '[B] [', k, '?] u', user_id, ': gg ', k)
+    ELSE concat_ws('', ' - aviso ', k) END
+  ELSE concat_ws('', 'evento ', event_type)
 END""".replace("{colours}", "(" + ", ".join(f"'{c}'" for c in TEAM_COLOURS) + ")")
 
 _BODY_SQL = f"""
-CASE WHEN event_id % 11 = 0 THEN concat('chunk ', k)
+CASE WHEN event_id % 11 = 0 THEN concat_ws('', 'chunk ', k)
      WHEN event_id % 13 = 0 THEN '[CHAT]   '
-     ELSE concat('[CHAT] ', {_MESSAGE_SQL}) END"""
+     ELSE concat_ws('', '[CHAT] ', {_MESSAGE_SQL}) END"""
 
 
 def render_log(events: DataFrame) -> DataFrame:
@@ -84,7 +87,7 @@ def render_log(events: DataFrame) -> DataFrame:
         "event_id", "user_id", "event_type", "ts", "try_cast(get_json_object(props, '$.k') AS BIGINT) AS k"
     )
     stamp = _time_of_day_sql(events.schema["ts"].dataType)
-    value = F.expr(f"concat('[', {stamp}, '{LOG_THREAD}', {_BODY_SQL})")
+    value = F.expr(f"concat_ws('', '[', {stamp}, '{LOG_THREAD}', {_BODY_SQL})")
     return select_once(
         staged,
         [F.col("user_id").alias("log_id"), F.col("event_id").alias("line_no")],

@@ -155,3 +155,14 @@ def test_global_numbering_recomputes_carried_ids(spark, tmp_path):
     glob = sorted((r.line_no, r.match_id) for r in build_events(shifted, by_log=False).collect())
     assert glob == [(1000, 1), (1001, 1), (1002, 2)]
     assert build_events(lines, with_match=False).where("match_id is not null").count() == 0
+
+
+def test_fixture_render_keeps_rows_with_nulls(spark):
+    from matchlog.operators.framing import frame
+    from matchlog.sources.fixture import render_log
+
+    rows = [(3, None, 5, "view", 1.0, '{"k": 4}'), (8, None, 5, "view", 1.0, None)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    lines = render_log(df).orderBy("line_no").collect()
+    assert [r.value for r in lines] == ["[] [Client thread/INFO]: [CHAT] +5 XP", "[] [Client thread/INFO]: [CHAT] + XP"]
+    assert [(r.event_time, r.message) for r in frame(render_log(df)).orderBy("line_no").collect()] == [("", "+5 XP"), ("", "+ XP")]
