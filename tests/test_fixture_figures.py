@@ -74,3 +74,16 @@ def test_message_prefixes(ev):
         F.count_if(F.col("message").rlike(r"^p7(?![\p{L}\p{N}_])")).alias("p7_word"),
     ).collect()
     assert (r.voce, r.p7, r.p7_word) == (1996, 229, 170)
+
+
+def test_marts_agree_with_each_other(spark, ev):
+    from matchlog.operators import marts
+
+    (s,) = marts.protagonist_summary(ev).collect()
+    (p,) = marts.kd_by_player(ev).where(F.col("player") == "p7").collect()
+    assert (p.kills, p.deaths, p.final_kills, p.kd_ratio) == (s.kills, s.deaths, s.final_kills, s.kd_ratio)
+    (t,) = marts.kd_by_player(ev).agg(F.sum("kills").alias("k"), F.sum("deaths").alias("d")).collect()
+    pvp = ev.where(F.col("category") == "pvp")
+    assert (t.k, t.d) == (pvp.where(F.col("actor").isNotNull()).count(), pvp.count())
+    spans = marts.match_spans(ev).agg(F.sum("n")).collect()[0][0]
+    assert spans == ev.count() == marts.events_by_match_category(ev).agg(F.sum("n")).collect()[0][0]
