@@ -31,3 +31,32 @@ def test_plan_shape(spark, name):
             below = _subtree(lines, i)
             # the first operator under the exchange is an aggregate: one row per group or per task
             assert below and "HashAggregate" in below[0], (name, ln, below[:2])
+
+
+def _full_row_hash_exchanges(df):
+    """Hash exchanges whose input is not an aggregate: shuffles of full rows."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    out = []
+    for i, ln in enumerate(lines):
+        if "Exchange hashpartitioning" in ln:
+            below = _subtree(lines, i)
+            if below and "HashAggregate" not in below[0] and "Window" not in below[0]:
+                out.append(ln.strip())
+    return out
+
+
+def test_raw_logs_reach_the_event_table_with_one_shuffle(spark, tmp_path):
+    from matchlog.operators.events import build_events
+    from matchlog.sources.logs import read_logs
+
+    (tmp_path / "a.log").write_bytes("[CHAT] O jogo iniciou!\n[CHAT] oi\n".encode("cp1252"))
+    assert len(_full_row_hash_exchanges(build_events(read_logs(spark, str(tmp_path))))) == 1
+    # without the read-pass ids, build_events needs its own segmentation shuffle
+    two = build_events(read_logs(spark, str(tmp_path), with_match_ids=False))
+    assert len(_full_row_hash_exchanges(two)) >= 2
+
+
+def test_event_table_from_the_fixture_has_one_row_shuffle(spark):
+    df = QUERIES["build_event_table"](spark, SF_SMALL)
+    assert len(_full_row_hash_exchanges(df)) == 1
+    assert len(_full_row_hash_exchanges(QUERIES["top_killers"](spark, SF_SMALL))) == 0
