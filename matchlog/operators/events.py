@@ -78,7 +78,7 @@ def build_events(
     in its numbering pass) they are kept and no second segmentation runs;
     with ``by_log=False`` they are recomputed over all rows in ``line_no``
     order, which needs ``line_no`` to be one order across logs (as in the
-    rendered fixture log; ``read_logs`` numbers lines per file).
+    rendered fixture log, or ``read_logs(global_line_no=True)``).
 
     ``categories`` keeps only events of those categories.  Catalyst cannot
     push such a filter below the match-id window, so it is applied here by

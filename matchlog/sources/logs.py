@@ -52,13 +52,15 @@ def read_logs(
     with_match_ids: bool = True,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     levels: int = 1,
+    global_line_no: bool = False,
 ) -> DataFrame:
     """Text logs -> ``lines(log_id string, line_no bigint, value string,
     match_id bigint)``.
 
     ``match_id`` (per log) is computed in the numbering pass; with
-    ``with_match_ids=False`` it is left out (e.g. to number matches across all
-    files with ``build_events(by_log=False)``).
+    ``with_match_ids=False`` it is left out.  ``global_line_no=True`` numbers
+    the lines of all files as one sequence in path order (no ``match_id``),
+    for ``build_events(by_log=False)``: matches numbered across all files.
     """
     if charset not in CHARSETS:
         raise ValueError(f"charset must be one of {CHARSETS}")
@@ -72,13 +74,20 @@ def read_logs(
         value.alias("value"),
     )
     sums = {"_line": F.lit(1)}
+    with_match_ids = with_match_ids and not global_line_no
     if with_match_ids:
         sums["match_id"] = is_start_line(F.col("value"))
     # Chunk = a run of at most ``chunk_rows`` consecutive lines of one split
     # (ids are consecutive inside a split), so a 128 MB split is not one
     # window partition either.
-    chunk = F.struct(F.col("_split").alias("split"), F.expr(f"_pos div {int(chunk_rows)}").alias("run"))
-    numbered = running_totals(scanned, order_by="_pos", sums=sums, by=["log_id"], chunk=chunk, levels=levels)
+    run = [F.col("_split").alias("split"), F.expr(f"_pos div {int(chunk_rows)}").alias("run")]
+    if global_line_no:
+        # one sequence over all files: the path leads the chunk key
+        chunk = F.struct(F.col("log_id").alias("file"), *run)
+        numbered = running_totals(scanned, order_by="_pos", sums=sums, chunk=chunk, levels=levels)
+    else:
+        chunk = F.struct(*run)
+        numbered = running_totals(scanned, order_by="_pos", sums=sums, by=["log_id"], chunk=chunk, levels=levels)
     out = [F.col("log_id"), (F.col("_line") - 1).alias("line_no"), F.col("value")]
     if with_match_ids:
         out.append(F.col("match_id"))

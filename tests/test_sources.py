@@ -166,3 +166,21 @@ def test_fixture_render_keeps_rows_with_nulls(spark):
     lines = render_log(df).orderBy("line_no").collect()
     assert [r.value for r in lines] == ["[] [Client thread/INFO]: [CHAT] +5 XP", "[] [Client thread/INFO]: [CHAT] + XP"]
     assert [(r.event_time, r.message) for r in frame(render_log(df)).orderBy("line_no").collect()] == [("", "+5 XP"), ("", "+ XP")]
+
+
+@pytest.mark.parametrize("levels", [1, 2])
+def test_global_line_numbers_across_files(spark, tmp_path, levels):
+    from matchlog.operators.events import build_events
+
+    (tmp_path / "a.log").write_bytes("[CHAT] O jogo iniciou!\n[CHAT] oi\n".encode("cp1252"))
+    (tmp_path / "b.log").write_bytes("[CHAT] O jogo iniciou!\n[CHAT] oi\nx\n".encode("cp1252"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    try:
+        lines = read_logs(spark, str(tmp_path), global_line_no=True, chunk_rows=1, levels=levels)
+        got = sorted((r.line_no, r.log_id.rsplit("/", 1)[-1]) for r in lines.collect())
+        ev = sorted((r.line_no, r.match_id) for r in build_events(lines, by_log=False).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert "match_id" not in lines.columns
+    assert got == [(0, "a.log"), (1, "a.log"), (2, "b.log"), (3, "b.log"), (4, "b.log")]
+    assert ev == [(0, 1), (1, 1), (2, 2), (3, 2)]
