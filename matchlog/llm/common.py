@@ -32,8 +32,12 @@ BATCH_ROWS = 1000
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def fold_of(doc_id: Column) -> Column:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, packing, token_counts
-from .common import read
+from . import bpe_codec, exact_dedup, jaccard_join, line_dedup, packing, token_counts
+from .common import read, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(spark, table_path(sf_dir, "documents")).drop("locator")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary())
 
@@ -28,17 +32,31 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_classes(read(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_counts(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_exact_dedup,
         op3_best_fit_packing,
         op4_bpe_codec,
+        op7_ngram_jaccard_join,
         op8_token_counts,
+        op10_line_dedup,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op10_line_dedup": line_dedup.ORACLE_SQL,
+}
