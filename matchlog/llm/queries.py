@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, exact_dedup, jaccard_join, line_dedup, packing, token_counts
+from . import bpe_codec, exact_dedup, imatch, jaccard_join, langid, license_scan, line_dedup, packing, token_counts, toxicity
 from .common import read, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(spark, table_path(sf_dir, "documents")).drop("locator")
 
@@ -32,6 +37,15 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
+def op6_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_pairs(read(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_classes(read(spark, sf_dir, "documents"))
 
@@ -40,6 +54,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_counts(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(read(spark, sf_dir, "documents"))
 
@@ -47,11 +65,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_toxicity,
         op2_exact_dedup,
         op3_best_fit_packing,
         op4_bpe_codec,
+        op5_language_id,
+        op6_imatch_fingerprints,
         op7_ngram_jaccard_join,
         op8_token_counts,
+        op9_license_scan,
         op10_line_dedup,
     )
 }
