@@ -1,0 +1,129 @@
+"""Word splitting, encoding, decoding and token counts against the tokenizer."""
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_helpers import SF_SMALL, texts_of
+
+from matchlog.llm import bpe, bpe_codec, token_counts
+from matchlog.llm.queries import QUERIES, vocabulary
+
+PARTS = ["'", "s", "t", "re", "ve", "ll", "d", "m", " ", "  ", "\n", "\t", "1", "²", "é", "ñ", "!", "<|endoftext|>", "　", "\xa0", "漢", "😀", "\u0085", "\x1c", "​", "_", "A", "İ", "ⅷ"]
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.encoder(vocabulary())
+
+
+def same(encoder, tokenizer, texts):
+    ids, bounds = encoder.texts(texts)
+    for i, (text, own) in enumerate(zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False))):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == own.ids, text
+
+
+def test_random_texts(encoder, tokenizer):
+    rnd = random.Random(7)
+    for _ in range(60):
+        same(encoder, tokenizer, ["".join(rnd.choice(PARTS) for _ in range(rnd.randint(0, 14))) for _ in range(50)])
+
+
+def test_characters_in_context(encoder, tokenizer):
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for k in range(0, len(points), 20_000):
+        same(encoder, tokenizer, ["a" + c + "1" + c + "!" + c + " x" for c in map(chr, points[k : k + 20_000 : 7])])
+
+
+def test_a_full_cache_changes_nothing(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
+    fresh = bpe.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for k in range(5):
+        same(fresh, tokenizer, [f"some words {k} and more words", "more of it"])
+
+
+def expected(texts, tokenizer):
+    out = {}
+    for i, text in texts.items():
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        out[i] = (
+            len(ids),
+            hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+            hashlib.sha256(decoded.encode()).hexdigest(),
+        )
+    return out
+
+
+def test_codec_query(spark, tokenizer):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in QUERIES["op4_bpe_codec"](spark, SF_SMALL).collect()}
+    assert got == expected(texts_of(docs), tokenizer)
+
+
+@pytest.mark.parametrize("block_bytes", [1000, 1 << 20])
+def test_codec_round_trip_of_awkward_rows(spark, awkward, tokenizer, block_bytes):
+    encoded = bpe_codec.encode(awkward, vocabulary(), block_bytes=block_bytes)
+    rows = bpe_codec.decode(encoded, vocabulary()).collect()
+    assert sorted((str(r["doc_id"]), r["decoded"]) for r in rows) == sorted((str(r["doc_id"]), r["text"] or "") for r in awkward.collect())
+    for r in rows:
+        assert r["ids"] == tokenizer.encode(r["decoded"], add_special_tokens=False).ids
+
+
+def test_codec_of_an_empty_table(spark, empty):
+    assert bpe_codec.digests(empty, vocabulary()).collect() == []
+
+
+def test_decode_of_null_and_malformed_ids(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, [50256]), (4, [187])], "doc_id long, ids array<int>")
+    got = {r["doc_id"]: r["decoded"] for r in bpe_codec.decode(df, vocabulary()).collect()}
+    assert got[1] is None and got[2] == "" and got[3] == "<|endoftext|>"
+    piece = bpe.encoder(vocabulary()).pieces[187]
+    assert got[4] == piece.decode("utf-8", "replace")
+
+
+def brute_sections(text, tokenizer, rule):
+    encoding = tokenizer.encode(text, add_special_tokens=False)
+    starts = [0] + [i + 1 for i, c in enumerate(text) if c == "\n" and i + 1 < len(text)]
+    ends = starts[1:] + [len(text)]
+    counts, crossing = [0] * len(starts), [0] * len(starts)
+    for a, b in encoding.offsets:
+        inside = [max(0, min(b, e) - max(a, s)) for s, e in zip(starts, ends)]
+        held = [k for k, n in enumerate(inside) if n]
+        k = {"first": held[0], "last": held[-1], "most": inside.index(max(inside))}[rule]
+        counts[k] += 1
+        crossing[k] += len(held) > 1
+    return list(zip(starts, ends, counts, crossing))
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_sections_against_offsets(spark, awkward, tokenizer, rule):
+    texts = ["a\n\n\nb", "\n\n", "x\ny\n", "  \n  \n word\n", "ä\n漢字\n\n\n😀", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in token_counts.section_counts(df, vocabulary(), rule=rule).orderBy("doc_id", "section").collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], r["end"], r["n_tokens"], r["n_crossing"]))
+    assert got == {i: brute_sections(t, tokenizer, rule) for i, t in enumerate(texts)}
+
+
+def test_section_query(spark, tokenizer):
+    docs = texts_of(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    got = {}
+    for r in QUERIES["op8_token_counts"](spark, SF_SMALL).orderBy("doc_id", "section").collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], r["end"], r["n_tokens"], r["n_crossing"]))
+    assert got == {i: brute_sections(t, tokenizer, "first") for i, t in docs.items()}
+
+
+def test_sections_of_awkward_rows(spark, awkward, empty):
+    rows = token_counts.section_counts(awkward, vocabulary()).collect()
+    assert sum(r["section"] == 0 for r in rows) == awkward.count()
+    assert token_counts.section_counts(empty, vocabulary()).collect() == []
+    with pytest.raises(ValueError):
+        token_counts.section_counts(awkward, vocabulary(), rule="any")
+
+
+def test_tokens_add_up_under_every_rule(spark, awkward):
+    totals = [sum(r["n_tokens"] for r in token_counts.section_counts(awkward, vocabulary(), rule=rule).collect()) for rule in token_counts.RULES]
+    assert len(set(totals)) == 1 and totals[0] > np.int64(0)
