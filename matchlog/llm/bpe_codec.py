@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import bounded_batches, ragged, steps
+from .common import STEP_CHARS, bounded_batches, ragged, steps
 
 BLOCK_BYTES = 32 << 20
 # Words of one packed answer to a block.
@@ -77,7 +77,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _unpack(column: pa.ChunkedArray, limit: int = 4_000_000) -> Iterator[list[str]]:
+def _unpack(column: pa.ChunkedArray, limit: int = STEP_CHARS // 2) -> Iterator[list[str]]:
     """The texts in runs of about ``limit`` bytes."""
     codec = pa.Codec("zstd")
     run, size = [], 0
