@@ -2,6 +2,7 @@ import os, re, sys, tempfile
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from matchlog.session import local_session
 from matchlog.plans import catalog as c
+from matchlog.sources.fixture import PROTAGONIST
 from matchlog.sources.logs import read_logs
 from matchlog.operators.events import build_events
 spark = local_session()
@@ -47,7 +48,7 @@ for name in ["build_event_table", "pvp_log", "segment_matches_global", "kd_by_pl
     docs.append((name, tree(c.QUERIES[name](spark, sf))))
 d = tempfile.mkdtemp(prefix="matchlog-plan-")
 open(os.path.join(d, "a.log"), "w").write("[10:00:00] [t]: [CHAT] O jogo iniciou!\n[10:00:01] [t]: [CHAT] oi\n")
-docs.append(("read_logs(with_match_ids=True) -> build_events", tree(build_events(read_logs(spark, d, with_match_ids=True)))))
+docs.append(("read_logs(with_match_ids=True) -> build_events", tree(build_events(read_logs(spark, d, with_match_ids=True), PROTAGONIST))))
 with open(os.path.join(os.path.dirname(os.path.abspath(__file__)), "PLANS.md"), "w") as f:
     f.write("# Physical plans\n\nFinal adaptive plans of key queries, run on `local[8]` at sf0.01 "
             "(generated by `docs/plans.py`; expressions elided, `*(n)` = whole-stage codegen stage).  "

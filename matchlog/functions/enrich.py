@@ -155,12 +155,12 @@ def target() -> Column:
     )
 
 
-def actor(protagonist: str) -> Column:
-    """Killer, bed breaker, the log owner for economy and XP, lobby player."""
+def actor(me: str) -> Column:
+    """``me`` is the log owner as SQL text.  Killer, bed breaker, the log owner for economy and XP, lobby player."""
     return F.expr(
         f"CASE WHEN {_is('pvp')} THEN {_blank_to_null(_c(2))} "
         f"WHEN {_is('bed_destroyed')} THEN {_c(2)} "
-        f"WHEN {CAT} IN ('purchase', 'pickup', 'xp') THEN {sql_literal(protagonist)} "
+        f"WHEN {CAT} IN ('purchase', 'pickup', 'xp') THEN {me} "
         f"WHEN {_is('lobby')} THEN {_c(1)} END"
     )
 
@@ -207,22 +207,19 @@ def is_final() -> Column:
     )
 
 
-def is_own(protagonist: str, exact_name: bool = False) -> Column:
-    """Protagonist involved.  Three-valued on purpose: a null actor or target
+def is_own(me: str, exact_name: bool = False) -> Column:
+    """Log owner (``me``, SQL text) involved.  Three-valued on purpose: a null actor or target
     makes the comparison null, and null OR false stays null.
 
     The default name test is a plain prefix (a player whose name only starts
     with the protagonist's counts too); ``exact_name`` requires a word end.
     """
-    me = sql_literal(protagonist)
     if exact_name:
-        name_test = f"{MSG} RLIKE {sql_literal('^' + _quote_regex(protagonist) + r'(?![\p{L}\p{N}_])')}"
+        quoted = f"replace({me}, {sql_literal(chr(92) + 'E')}, {sql_literal(chr(92) + 'E' + chr(92) * 2 + 'E' + chr(92) + 'Q')})"
+        name_test = f"{MSG} RLIKE concat({sql_literal('^' + chr(92) + 'Q')}, {quoted}, {sql_literal(chr(92) + 'E(?![' + chr(92) + 'p{L}' + chr(92) + 'p{N}_])')})"
     else:
         name_test = f"startswith({MSG}, {me})"
     return F.expr(
         f"(actor = {me}) OR (target = {me}) OR startswith({MSG}, {sql_literal(OWN_ACTION_PREFIX)}) OR {name_test}"
     )
 
-
-def _quote_regex(s: str) -> str:
-    return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"

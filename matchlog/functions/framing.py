@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .rules import CHAT_TAG, MESSAGE_PATTERN, TIME_OF_DAY_PATTERN
+from .rules import CHAT_TAG, MATCH_START_MESSAGE, MESSAGE_PATTERN, TIME_OF_DAY_PATTERN
 
 
 def is_chat_line(value: Column) -> Column:
@@ -24,3 +24,11 @@ def message(value: Column) -> Column:
     ``trim`` strips spaces only, so tabs inside the message survive.
     """
     return F.trim(F.regexp_extract(value, MESSAGE_PATTERN, 1))
+
+
+def is_start_line(value: Column) -> Column:
+    """1 if the raw line is a chat event whose message is exactly the start
+    marker.  The literal ``contains`` test rejects almost every line before any
+    regex."""
+    guard = value.contains(MATCH_START_MESSAGE) & is_chat_line(value)
+    return F.when(guard & (message(value) == F.lit(MATCH_START_MESSAGE)), F.lit(1)).otherwise(F.lit(0))

@@ -16,6 +16,7 @@ All regexes are Java regexes evaluated by ``rlike`` (find semantics) and
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -118,8 +119,11 @@ RULE = {r.name: r for r in RULES}
 
 
 def sql_literal(s: str) -> str:
-    """A Spark SQL string literal holding exactly ``s``."""
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    """A constant Spark SQL expression holding exactly ``s``, whatever the
+    session's ``escapedStringLiterals`` says: backslashes and quotes are given
+    by their codes, so no literal holds one."""
+    parts = [f"char({ord(part)})" if part in ("\\", "'") else f"'{part}'" for part in re.split(r"([\\'])", s) if part]
+    return f"concat({', '.join(parts)})" if len(parts) > 1 else (parts or ["''"])[0]
 
 
 def classify_sql(message: str = "message", rules: tuple[Rule, ...] = RULES) -> str:

@@ -17,18 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators import marts
 from .operators.contract import original_contract
-from .operators.events import DEFAULT_PROTAGONIST, build_events
+from .operators.events import build_events
 from .sources.logs import read_logs
 from .sources.sinks import write_csv, write_parquet
 
 
 def mart_tables(ev: DataFrame, protagonist: str) -> dict[str, DataFrame]:
     return {
-        "events_by_match_category": marts.events_by_match_category(ev),
+        "events_by_match_category": marts.events_by_match_category(ev, ordered=False),
         "pvp_log": marts.pvp_log(ev),
         "protagonist_summary": marts.protagonist_summary(ev, protagonist),
         "purchase_log": marts.purchase_log(ev),
-        "bed_log": marts.bed_log(ev),
+        "bed_log": marts.bed_log(ev, ordered=False),
         "xp_log": marts.xp_log(ev),
         "chat_log": marts.chat_log(ev),
         "top_items": marts.top_items(ev),
@@ -49,7 +49,7 @@ def run_job(
     paths: Sequence[str],
     out_dir: str,
     *,
-    protagonist: str = DEFAULT_PROTAGONIST,
+    protagonist: str,
     charset: str = "cp1252",
     csv: bool = False,
 ) -> dict[str, str]:
@@ -62,7 +62,8 @@ def run_job(
     if csv:
         write_csv(original_contract(ev), f"{out_dir}/events_csv")
         outputs["events_csv"] = f"{out_dir}/events_csv"
-    for name, df in mart_tables(ev, protagonist).items():
+    # Lines and chat lines cannot be recovered from the event table.
+    for name, df in {**mart_tables(ev, protagonist), "line_funnel": marts.line_funnel(lines)}.items():
         path = f"{out_dir}/marts/{name}"
         df.write.mode("overwrite").parquet(path)
         outputs[name] = path
@@ -73,7 +74,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="matchlog", description=__doc__.split("\n\n")[0])
     ap.add_argument("logs", nargs="+", help="log files, directories or globs")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
-    ap.add_argument("--protagonist", default=DEFAULT_PROTAGONIST, help="owner of the logs")
+    ap.add_argument("--protagonist", required=True, help="owner of the logs")
     ap.add_argument("--charset", default="cp1252", choices=("cp1252", "utf-8"))
     ap.add_argument("--csv", action="store_true", help="also write the event table as CSV (original columns)")
     args = ap.parse_args(argv)

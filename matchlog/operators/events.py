@@ -14,13 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import enrich as en
+from ..functions.framing import is_start_line
 from ..functions.once import select_once
-from ..functions.rules import MATCH_START_MESSAGE, classify
+from ..functions.rules import MATCH_START_MESSAGE, classify, sql_literal
 from .framing import frame
 from .segment import DEFAULT_CHUNK_ROWS, assign_match_ids
 
-DEFAULT_PROTAGONIST = "p7"
-
 EVENT_COLUMNS = (
     "log_id",
     "line_no",
@@ -43,8 +42,26 @@ def classify_events(events: DataFrame, message: str = "message") -> DataFrame:
     return select_once(events, events.columns, {"category": classify(message)})
 
 
-def enrich(events: DataFrame, protagonist: str = DEFAULT_PROTAGONIST, *, exact_name: bool = False) -> DataFrame:
+def with_owner(lines: DataFrame, owners: DataFrame) -> DataFrame:
+    """``lines`` with the ``owner`` of each log from ``owners(log_id, owner)``,
+    one row per log; logs without one get a null owner."""
+    return lines.join(owners.select("log_id", "owner"), "log_id", "left")
+
+
+def owner_of(rows: DataFrame, protagonist: str | None) -> str:
+    """The log owner as SQL text: one name for all logs, or the column ``owner``
+    (``with_owner``).  There is no default: a wrong name silently credits one
+    player's purchases and experience to another."""
+    if protagonist is not None:
+        return sql_literal(protagonist)
+    if "owner" not in rows.columns:
+        raise ValueError("name the owner of the logs: protagonist=..., or an owner column (with_owner)")
+    return "owner"
+
+
+def enrich(events: DataFrame, protagonist: str | None = None, *, exact_name: bool = False) -> DataFrame:
     """Classified events -> target, actor, detail, flags and typed details."""
+    me = owner_of(events, protagonist)
     # Captures once per row (one regex run per capture group), then plain
     # string operations; a filter on these columns pushed below the
     # projection copies only those cheap operations.
@@ -52,18 +69,18 @@ def enrich(events: DataFrame, protagonist: str = DEFAULT_PROTAGONIST, *, exact_n
     parts = staged.select(
         *events.columns,
         en.target().alias("target"),
-        en.actor(protagonist).alias("actor"),
+        en.actor(me).alias("actor"),
         en.detail().alias("detail"),
         en.is_final().alias("is_final"),
         en.detail_name().alias("detail_name"),
         en.detail_qty().alias("detail_qty"),
     )
-    return parts.withColumn("is_own", en.is_own(protagonist, exact_name=exact_name))
+    return parts.withColumn("is_own", en.is_own(me, exact_name=exact_name))
 
 
 def build_events(
     lines: DataFrame,
-    protagonist: str = DEFAULT_PROTAGONIST,
+    protagonist: str | None = None,
     *,
     with_match: bool = True,
     by_log: bool = True,
@@ -73,6 +90,9 @@ def build_events(
 ) -> DataFrame:
     """``lines(log_id, line_no, value)`` -> event table (``EVENT_COLUMNS``).
 
+    ``protagonist`` names the owner of all logs; without it the lines carry an
+    ``owner`` column of their own (``with_owner``).
+
     ``with_match=False`` leaves ``match_id`` null and needs no shuffle.  When
     the lines already carry per-log ``match_id`` (``read_logs`` computes them
     in its numbering pass) they are kept and no second segmentation runs;
@@ -86,20 +106,24 @@ def build_events(
     only the wanted rows plus the marker rows enter the shuffle (the chunk
     totals still count every marker), and the ids are unchanged.
     """
+    owner = ("owner",) if protagonist is None and "owner" in lines.columns else ()
+    owner_of(lines, protagonist)
     wanted = None if categories is None else F.col("category").isin(*categories)
     if "match_id" in lines.columns and not (with_match and by_log):
         lines = lines.drop("match_id")  # carried ids are per log: recompute as asked
     if "match_id" in lines.columns:
-        framed = frame(lines, keep=("log_id", "line_no", "match_id"))
+        framed = frame(lines, keep=("log_id", "line_no", "match_id", *owner))
         ev = enrich(classify_events(framed), protagonist, exact_name=exact_name)
         return (ev if wanted is None else ev.where(wanted)).select(*EVENT_COLUMNS)
-    framed = frame(lines)
+    framed = frame(lines, keep=("log_id", "line_no", *owner))
     ev = enrich(classify_events(framed), protagonist, exact_name=exact_name)
     if with_match:
         if wanted is not None:
             ev = ev.where(wanted | (F.col("message") == F.lit(MATCH_START_MESSAGE)))
-        # chunk totals come from the plain frame: no classification in that pass
-        ev = assign_match_ids(ev, by_log=by_log, chunk_rows=chunk_rows, totals_from=framed)
+        # Sizes and chunk totals come from the plain lines: the message regex
+        # runs on marker lines only.
+        marks = lines.select("log_id", "line_no", is_start_line(F.col("value")).alias("match_id"))
+        ev = assign_match_ids(ev, by_log=by_log, chunk_rows=chunk_rows, totals_from=marks)
     else:
         ev = ev.withColumn("match_id", F.lit(None).cast("long"))
     if wanted is not None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import framing as fr
 from ..functions.rules import MATCH_START_MESSAGE
-from .events import DEFAULT_PROTAGONIST
+from .events import with_owner
 
 
 def _cat() -> Column:
@@ -29,7 +29,7 @@ def _ratio(num: Column, den: Column) -> Column:
 
 def preview(ev: DataFrame, n: int = 200) -> DataFrame:
     """First ``n`` events in line order (a bounded top-n, not a collect)."""
-    return ev.select("log_id", "line_no", "message", "category").orderBy("line_no", "log_id").limit(n)
+    return ev.select("log_id", "line_no", "message", "category").orderBy("log_id", "line_no").limit(n)
 
 
 def pvp_log(ev: DataFrame) -> DataFrame:
@@ -42,13 +42,13 @@ def purchase_log(ev: DataFrame) -> DataFrame:
     return ev.where(_cat() == "purchase").select("log_id", "line_no", "match_id", "event_time", "detail")
 
 
-def bed_log(ev: DataFrame) -> DataFrame:
-    """Destroyed beds in chronological (line) order."""
-    return (
-        ev.where(_cat() == "bed_destroyed")
-        .select("log_id", "line_no", "match_id", "event_time", "target", "actor", "message")
-        .orderBy("log_id", "line_no")
+def bed_log(ev: DataFrame, *, ordered: bool = True) -> DataFrame:
+    """Destroyed beds in chronological (line) order; ``ordered=False`` leaves
+    the rows as they come, for storage."""
+    beds = ev.where(_cat() == "bed_destroyed").select(
+        "log_id", "line_no", "match_id", "event_time", "target", "actor", "message"
     )
+    return beds.orderBy("log_id", "line_no") if ordered else beds
 
 
 def xp_log(ev: DataFrame) -> DataFrame:
@@ -62,18 +62,22 @@ def chat_log(ev: DataFrame) -> DataFrame:
 
 # --- aggregates -------------------------------------------------------------
 
-def events_by_match_category(ev: DataFrame) -> DataFrame:
-    return (
-        ev.groupBy("log_id", "match_id", "category")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("log_id", "match_id", F.desc("n"), "category")
-    )
+def events_by_match_category(ev: DataFrame, *, ordered: bool = True) -> DataFrame:
+    counts = ev.groupBy("log_id", "match_id", "category").agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy("log_id", "match_id", F.desc("n"), "category") if ordered else counts
+
 
+def _me(protagonist: str | DataFrame, ev: DataFrame) -> tuple[DataFrame, Column]:
+    """One name for all logs, or ``owners(log_id, owner)``."""
+    if isinstance(protagonist, str):
+        return ev, F.lit(protagonist)
+    return with_owner(ev, protagonist), F.col("owner")
 
-def protagonist_summary(ev: DataFrame, protagonist: str = DEFAULT_PROTAGONIST) -> DataFrame:
-    """Kills, deaths, final kills and K/D of the protagonist in one pass."""
-    me = F.lit(protagonist)
-    counts = ev.where(_cat() == "pvp").agg(
+
+def protagonist_summary(ev: DataFrame, protagonist: str | DataFrame) -> DataFrame:
+    """Kills, deaths, final kills and K/D of the log owners in one pass."""
+    ev, me = _me(protagonist, ev.where(_cat() == "pvp"))
+    counts = ev.agg(
         F.count_if(F.col("actor") == me).alias("kills"),
         F.count_if(F.col("target") == me).alias("deaths"),
         F.count_if((F.col("actor") == me) & F.col("is_final")).alias("final_kills"),
@@ -81,7 +85,7 @@ def protagonist_summary(ev: DataFrame, protagonist: str = DEFAULT_PROTAGONIST) -
     return counts.withColumn("kd_ratio", _ratio(F.col("kills"), F.col("deaths")))
 
 
-def pvp_share(ev: DataFrame, protagonist: str = DEFAULT_PROTAGONIST) -> DataFrame:
+def pvp_share(ev: DataFrame, protagonist: str | DataFrame) -> DataFrame:
     """Kills against deaths with percentage shares (two rows)."""
     s = protagonist_summary(ev, protagonist)
     total = F.col("kills") + F.col("deaths")
@@ -136,17 +140,30 @@ def beds_by_team(ev: DataFrame) -> DataFrame:
 
 
 def events_by_category(ev: DataFrame) -> DataFrame:
-    """Events per category plus a grand-total row (``category`` null)."""
-    return ev.rollup("category").agg(F.count(F.lit(1)).alias("n"))
+    """Events per category plus a grand-total row (``category`` null).
+
+    Counted first, so the rollup doubles a row per category, not every event."""
+    return ev.groupBy("category").agg(F.count(F.lit(1)).alias("n")).rollup("category").agg(F.sum("n").alias("n"))
 
 
 def match_spans(ev: DataFrame) -> DataFrame:
-    """Events per match with first and last time by line order (midnight safe)."""
-    return ev.groupBy("log_id", "match_id").agg(
+    """Events per match with first and last time by line order (midnight safe).
+
+    Times are carried as numbers (``hhmmss``, -1 for a line without a time):
+    fixed width keeps the aggregate on the hash path before the shuffle."""
+    clock = F.when(F.col("event_time") == "", -1).otherwise(F.translate("event_time", ":", "").cast("int"))
+    per = ev.select("log_id", "match_id", "line_no", clock.alias("clock")).groupBy("log_id", "match_id").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min_by("event_time", "line_no").alias("first_time"),
-        F.max_by("event_time", "line_no").alias("last_time"),
+        F.min_by("clock", "line_no").alias("first"),
+        F.max_by("clock", "line_no").alias("last"),
     )
+    return per.select("log_id", "match_id", "n", _clock_text("first").alias("first_time"), _clock_text("last").alias("last_time"))
+
+
+def _clock_text(name: str) -> Column:
+    digits = F.lpad(F.col(name).cast("string"), 6, "0")
+    text = F.concat_ws(":", *[F.substring(digits, k, 2) for k in (1, 3, 5)])
+    return F.when(F.col(name) >= 0, text).when(F.col(name) == -1, F.lit(""))
 
 
 def line_funnel(lines: DataFrame) -> DataFrame:

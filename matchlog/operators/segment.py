@@ -6,26 +6,28 @@ rows) into one task.  ``running_totals`` computes the same inclusive prefix
 sum in two phases, a textbook parallel scan:
 
 1. cut each group into chunks of consecutive order keys and run the window
-   inside ``(group, chunk)`` -- balanced partitions of at most ``chunk_rows``
-   rows; this is the only shuffle of the full rows;
+   inside ``(group, chunk)`` -- balanced partitions; this is the only shuffle
+   of the full rows;
 2. total every chunk with a ``groupBy`` (map-side partial aggregation, so
    only one small row per chunk and task is shuffled), take a running sum of
-   chunk totals per group (exclusive) over that tiny table (rows /
-   ``chunk_rows``), and add the offset back with an equi-join on
-   ``(group, chunk)``.
-
-The input is therefore read twice (the chunk totals need only the summed
-columns, Catalyst prunes the rest) but shuffled once -- the same trade as
-``zipWithIndex``, which counts partitions in a first job.  Persist the input
-first when it is expensive to recompute.  The offset table is small and its
-size is bounded by rows / ``chunk_rows``; the join is a plain equi-join that
-AQE turns into a broadcast only when the measured size is under the
-broadcast threshold, and otherwise keeps as a sort-merge join that reuses
-the big side's existing ``(group, chunk)`` partitioning.
+   chunk totals per group (exclusive) over that table, and add the offset back
+   with an equi-join on ``(group, chunk)``.
+
+With groups, a first small job counts each group's rows (one row per group and
+task is shuffled).  A group of at most ``chunk_rows`` rows is one chunk and
+needs no offset; only larger groups are cut, each by a width that follows its
+own density.  So the chunk table holds at most rows / ``chunk_rows`` rows and
+one more per large group, however many small groups there are, and without
+large groups there is no second read and no join at all.
+
+The table of large groups has at most rows / ``chunk_rows`` rows.  It is
+written to the shared scratch folder; up to ``BROADCAST_GROUPS`` rows it is
+broadcast, beyond that the planner joins it as it sees fit.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,25 +35,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import is_match_start
+from ..session import ensure_checkpoint_dir
 
 # 256 Ki rows per window partition: small enough to sort and buffer in one
 # task, large enough that the chunk table stays tiny (1e12 rows -> 4e6 chunks).
 DEFAULT_CHUNK_ROWS = 1 << 18
 
 
-def _null_safe_key(df: DataFrame, name: str, i: int) -> list[tuple[str, Column]]:
-    """A nullable group column as two non-null join keys (value, is-null)."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.StringType):
-        zero = F.lit("")
-    elif isinstance(dtype, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        zero = F.lit(0).cast(dtype)
-    else:
-        raise TypeError(f"unsupported group column type {dtype} for {name}")
-    return [
-        (f"_g{i}", F.coalesce(F.col(name), zero)),
-        (f"_gn{i}", F.col(name).isNull()),
-    ]
+# Rows of the table of large groups that may be broadcast (about 6 MB).
+BROADCAST_GROUPS = 100_000
+
+
+def _null_safe_keys(df: DataFrame, by: Sequence[str]) -> list[Column]:
+    """Nullable group columns as non-null join keys: values, then is-null."""
+    values, nulls = [], []
+    for i, name in enumerate(by):
+        dtype = df.schema[name].dataType
+        if isinstance(dtype, T.StringType):
+            zero = F.lit("")
+        elif isinstance(dtype, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            zero = F.lit(0).cast(dtype)
+        else:
+            raise TypeError(f"unsupported group column type {dtype} for {name}")
+        values.append(F.coalesce(F.col(name), zero).alias(f"_g{i}"))
+        nulls.append(F.col(name).isNull().alias(f"_gn{i}"))
+    return values + nulls
 
 
 def running_totals(
@@ -64,44 +72,75 @@ def running_totals(
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     totals_from: DataFrame | None = None,
     levels: int = 1,
+    checked: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums per ``by`` group in ``order_by`` order.
 
     ``order_by`` must be unique inside a group.  ``chunk`` may name an
-    existing contiguous block key (e.g. a file split); by default the block is
-    ``order_by div chunk_rows``.  ``totals_from`` is an optional cheaper
-    input with the same rows and sum values (e.g. ``df`` before expensive
-    columns were added); the chunk totals are aggregated from it.
-
-    With ``levels=1`` one task per group orders that group's chunk table,
-    rows / ``chunk_rows`` rows (about 4 million small rows for 10^12 rows).
-    ``levels=2`` runs the prefix sum over the chunk table with the same
-    two-phase scheme, so no task orders more than rows / chunk_rows^2 chunk
-    rows (numeric order keys) or the splits of one file (a struct chunk whose
-    first field is the split); it adds a few small stages, so it is meant for
-    inputs well beyond 10^12 rows.
+    existing contiguous block key (e.g. a file split); by default groups are
+    cut by size (see above), and a sum without groups by ``order_by div
+    chunk_rows``.  ``totals_from`` is an optional cheaper input for the sizes
+    and chunk totals, with the group and order columns and one column per sum;
+    it may hold further rows whose values are 0.
+
+    ``checked`` compares the number of rows of every chunk on both sides and
+    raises when they differ.  It is for block keys that are evaluated by two
+    scans: if their layouts ever differ, rows must not vanish or be misnumbered.
+
+    ``levels`` is how often the chunk table is itself cut into chunks: the last
+    ordered table has rows / chunk_rows^levels rows per group.
     """
     if chunk_rows <= 0:
         raise ValueError("chunk_rows must be positive")
     original = df.columns
-    keys: list[str] = []
-    extra: list[Column] = []
-    for i, name in enumerate(by):
-        for key, expr in _null_safe_key(df, name, i):
-            extra.append(expr.alias(key))
-            keys.append(key)
-    # Non-null by construction (a null order key sorts first, so chunk 0), so
-    # no null filter is inferred on one side of the join only.
-    chunk_expr = chunk if chunk is not None else F.coalesce(F.expr(f"`{order_by}` div {int(chunk_rows)}"), F.lit(0))
-    extra.append(chunk_expr.alias("_chunk"))
     names = list(sums)
-    extra += [sums[name].alias(f"_v{j}") for j, name in enumerate(names)]
-    staged = df.select("*", *extra)
-    source = None if totals_from is None else totals_from.select("*", *extra)
-    out = _prefix(staged, keys, order_by, len(names), chunk_rows, levels, source)
+    keys = [f"_g{i}" for i in range(len(by))] + [f"_gn{i}" for i in range(len(by))]
+    group = _null_safe_keys(df, by)
+
+    def staged(rows: DataFrame, values: Sequence[Column]) -> DataFrame:
+        return rows.select("*", *group, *[v.alias(f"_v{j}") for j, v in enumerate(values)])
+
+    rows = staged(df, [sums[name] for name in names])
+    source = rows if totals_from is None else staged(totals_from, [F.col(name) for name in names])
+    if chunk is not None:
+        at = chunk.alias("_chunk")
+        out = _prefix(rows.select("*", at), keys, order_by, len(names), chunk_rows, levels, source.select("*", at), checked=checked)
+    elif by:
+        out = _by_group(rows, source, keys, order_by, len(names), chunk_rows, levels)
+    else:
+        # Non-null by construction (a null order key sorts first, so chunk 0).
+        at = F.coalesce(F.expr(f"`{order_by}` div {int(chunk_rows)}"), F.lit(0)).alias("_chunk")
+        out = _prefix(rows.select("*", at), keys, order_by, len(names), chunk_rows, levels, source.select("*", at))
     return out.select(*original, *[F.col(f"_s{j}").alias(name) for j, name in enumerate(names)])
 
 
+def large_groups(source: DataFrame, keys: Sequence[str], order_by: str, chunk_rows: int) -> DataFrame:
+    """Groups of more than ``chunk_rows`` rows, with their first order key and
+    the width of a chunk of about ``chunk_rows`` rows."""
+    spans = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(order_by).alias("_from"), F.max(order_by).alias("_to"))
+    width = F.ceil((F.col("_to") - F.col("_from") + 1) * (F.lit(float(chunk_rows)) / F.col("_n")))
+    return spans.where(F.col("_n") > chunk_rows).select(*keys, "_from", F.greatest(width.cast("long"), F.lit(1)).alias("_width"))
+
+
+def _by_group(rows: DataFrame, source: DataFrame, keys: list[str], order_by: str, n: int, chunk_rows: int, levels: int) -> DataFrame:
+    spark = rows.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/large-groups-{uuid.uuid4().hex}"
+    large_groups(source, keys, order_by, chunk_rows).write.parquet(path)
+    large = spark.read.parquet(path)
+    found = large.count()
+    if not found:
+        inside = Window.partitionBy(*keys).orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.select("*", *[F.sum(f"_v{j}").over(inside).cast("long").alias(f"_s{j}") for j in range(n)])
+    if found <= BROADCAST_GROUPS:
+        large = F.broadcast(large)
+    at = F.floor((F.col(order_by) - F.col("_from")) / F.col("_width"))
+    # A null order key sorts first, so it belongs to the first chunk.
+    at = F.greatest(F.coalesce(at.cast("long"), F.lit(0)), F.lit(0)).alias("_chunk")
+    cut = lambda df, how: df.join(large, keys, how).select(*df.columns, at)
+    totals = cut(source, "inner")
+    return _prefix(cut(rows, "left"), keys, order_by, n, chunk_rows, levels, totals)
+
+
 def _coarser(chunk: Column, dtype: T.DataType, chunk_rows: int) -> Column:
     """The chunk of a chunk: a run of consecutive chunk keys."""
     if isinstance(dtype, T.StructType):
@@ -116,37 +155,48 @@ def _prefix(
     n: int,
     chunk_rows: int,
     levels: int,
-    source: DataFrame | None = None,
+    source: DataFrame,
+    checked: bool = False,
 ) -> DataFrame:
-    """``staged`` (keys, ``_chunk``, ``order_by``, ``_v*``) + inclusive ``_s*``."""
+    """``staged`` (keys, ``_chunk``, ``order_by``, ``_v*``) + inclusive ``_s*``;
+    a chunk that ``source`` lacks has no offset."""
     part = [*keys, "_chunk"]
-    inside = Window.partitionBy(*part).orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*part).orderBy(order_by)
+    inside = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = staged.select("*", *[F.sum(f"_v{j}").over(inside).alias(f"_r{j}") for j in range(n)])
-
-    totals = (staged if source is None else source).groupBy(*part).agg(
-        *[F.sum(f"_v{j}").alias(f"_v{j}") for j in range(n)]
-    )
+    sums = [F.sum(f"_v{j}").alias(f"_v{j}") for j in range(n)]
+    if checked:
+        every = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        local = local.select("*", F.count(F.lit(1)).over(every).alias("_rows"))
+        sums.append(F.count(F.lit(1)).alias("_counted"))
+    counted = ["_counted"] if checked else []
+
+    totals = source.groupBy(*part).agg(*sums)
     if levels <= 1:
         before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
         offsets = totals.select(
             *part,
+            *counted,
             *[F.coalesce(F.sum(f"_v{j}").over(before), F.lit(0)).cast("long").alias(f"_o{j}") for j in range(n)],
         )
     else:
         # The chunk table is itself a running-sum problem: chunk it again.
         coarse = _coarser(F.col("_chunk"), totals.schema["_chunk"].dataType, chunk_rows)
-        inner = totals.select(*keys, F.col("_chunk").alias("_ord"), coarse.alias("_chunk"), *[f"_v{j}" for j in range(n)])
-        ranked = _prefix(inner, keys, "_ord", n, chunk_rows, levels - 1)
+        inner = totals.select(*keys, F.col("_chunk").alias("_ord"), coarse.alias("_chunk"), *counted, *[f"_v{j}" for j in range(n)])
+        ranked = _prefix(inner, keys, "_ord", n, chunk_rows, levels - 1, inner)
         offsets = ranked.select(
             *keys,
             F.col("_ord").alias("_chunk"),
+            *counted,
             *[(F.col(f"_s{j}") - F.col(f"_v{j}")).cast("long").alias(f"_o{j}") for j in range(n)],
         )
-    joined = local.join(offsets, on=part, how="inner")
-    return joined.select(
-        *staged.columns,
-        *[(F.col(f"_o{j}") + F.col(f"_r{j}")).cast("long").alias(f"_s{j}") for j in range(n)],
-    )
+    joined = local.join(offsets, on=part, how="left")
+    total = lambda j: (F.coalesce(F.col(f"_o{j}"), F.lit(0)) + F.col(f"_r{j}")).cast("long")
+    if checked:
+        wrong = F.raise_error(F.lit("the two scans of the input cut it into different chunks; run again")).cast("long")
+        same = F.coalesce(F.col("_counted") == F.col("_rows"), F.lit(False))
+        return joined.select(*staged.columns, *[F.when(same, total(j)).otherwise(wrong).alias(f"_s{j}") for j in range(n)])
+    return joined.select(*staged.columns, *[total(j).alias(f"_s{j}") for j in range(n)])
 
 
 def assign_match_ids(

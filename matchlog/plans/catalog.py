@@ -18,11 +18,11 @@ from ..functions.charset import decode_cp1252, encode_single_byte
 from ..functions.rules import is_match_start
 from ..operators import marts
 from ..operators.contract import original_contract
-from ..operators.events import DEFAULT_PROTAGONIST, build_events, classify_events, enrich
+from ..operators.events import build_events, classify_events, enrich
 from ..operators.framing import filter_chat, frame
 from ..operators.lines import split_lines
 from ..operators.segment import assign_match_ids
-from ..sources.fixture import render_log
+from ..sources.fixture import PROTAGONIST, render_log
 from ..sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +53,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return build_events(log_lines(spark, sf_dir), DEFAULT_PROTAGONIST, **kw)
+    return build_events(log_lines(spark, sf_dir), PROTAGONIST, **kw)
 
 
 def _framed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +107,7 @@ def mark_match_start(spark, sf_dir):
 
 @query
 def segment_matches_global(spark, sf_dir):
-    s = assign_match_ids(_framed(spark, sf_dir), by_log=False)
+    s = assign_match_ids(_framed(spark, sf_dir), by_log=False, levels=2)
     return s.select(F.col("line_no").alias("event_id"), "match_id")
 
 
@@ -119,7 +119,7 @@ def segment_matches_per_log(spark, sf_dir):
 
 @query
 def segment_matches_chunked(spark, sf_dir):
-    s = assign_match_ids(_framed(spark, sf_dir), by_log=False, chunk_rows=SMALL_CHUNK_ROWS)
+    s = assign_match_ids(_framed(spark, sf_dir), by_log=False, chunk_rows=SMALL_CHUNK_ROWS, levels=3)
     return s.select(F.col("line_no").alias("event_id"), "match_id")
 
 
@@ -171,7 +171,7 @@ def extract_chat(spark, sf_dir):
 
 
 def _enriched(spark, sf_dir) -> DataFrame:
-    return enrich(_classified(spark, sf_dir), DEFAULT_PROTAGONIST)
+    return enrich(_classified(spark, sf_dir), PROTAGONIST)
 
 
 @query
@@ -229,7 +229,7 @@ def pvp_log(spark, sf_dir):
 
 @query
 def protagonist_summary(spark, sf_dir):
-    return marts.protagonist_summary(events(spark, sf_dir, with_match=False))
+    return marts.protagonist_summary(events(spark, sf_dir, with_match=False), PROTAGONIST)
 
 
 @query
@@ -269,7 +269,7 @@ def top_killers(spark, sf_dir):
 
 @query
 def pvp_share(spark, sf_dir):
-    return marts.pvp_share(events(spark, sf_dir, with_match=False))
+    return marts.pvp_share(events(spark, sf_dir, with_match=False), PROTAGONIST)
 
 
 @query

@@ -9,8 +9,6 @@ queries'; integer sums and counts are cast to BIGINT like Spark's.
 
 from __future__ import annotations
 
-from ..functions.charset import CP1252_HIGH_GLYPHS, LATIN1_HIGH_CONTROLS
-
 _LINES = r"""
 src AS (
   SELECT event_id, user_id, event_type, ts,
@@ -135,12 +133,16 @@ SELECT doc_id, CAST(i - 1 AS BIGINT) AS line_idx, line FROM x WHERE NOT (i = n A
 """
 
 
+# What Windows-1252 shows for the bytes 0x80 to 0x9F, written out
+# here by hand so that the oracle shares no table with the engine.
+_WINDOWS_1252 = "€\ufffd‚ƒ„…†‡ˆ‰Š‹Œ\ufffdŽ\ufffd\ufffd‘’“”•–—˜™š›œ\ufffdžŸ"
+
+
 def _decode_sql() -> str:
-    src = LATIN1_HIGH_CONTROLS.replace("'", "''")
-    dst = CP1252_HIGH_GLYPHS.replace("'", "''")
+    controls = " || ".join(f"chr({c})" for c in range(0x80, 0xA0))
     return (
         "SELECT doc_id, translate(regexp_replace(text, '[^\\x00-\\xFF]', '?', 'g'), "
-        f"'{src}', '{dst}') AS text FROM documents"
+        f"{controls}, '{_WINDOWS_1252}') AS text FROM documents"
     )
 
 
@@ -200,7 +202,7 @@ def oracle_sql() -> dict[str, str]:
             FROM ev"""
         ),
         "preview_events": _on_events(
-            "SELECT log_id, line_no, message, category FROM ev ORDER BY line_no, log_id LIMIT 200"
+            "SELECT log_id, line_no, message, category FROM ev ORDER BY log_id, line_no LIMIT 200"
         ),
         "events_by_match_category": _on_events(
             "SELECT log_id, match_id, category, COUNT(*) AS n FROM ev GROUP BY log_id, match_id, category"

@@ -22,26 +22,22 @@ the lines instead of two.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import framing as fr
 from ..functions.charset import decode_cp1252
-from ..functions.rules import MATCH_START_MESSAGE
+from ..functions.framing import is_start_line
 from ..operators.segment import DEFAULT_CHUNK_ROWS, running_totals
 
 CHARSETS = ("cp1252", "utf-8")
 
 
-def is_start_line(value: Column) -> Column:
-    """The line is a chat event whose message is exactly the start marker.
-
-    The literal ``contains`` test rejects almost every line before any regex.
-    """
-    guard = value.contains(MATCH_START_MESSAGE) & fr.is_chat_line(value)
-    return F.when(guard & (fr.message(value) == F.lit(MATCH_START_MESSAGE)), F.lit(1)).otherwise(F.lit(0))
+def literal_path(path: str) -> str:
+    """A path pattern that matches just the file of that name."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def read_logs(
@@ -51,8 +47,9 @@ def read_logs(
     charset: str = "cp1252",
     with_match_ids: bool = True,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
-    levels: int = 1,
+    levels: int = 2,
     global_line_no: bool = False,
+    literal: bool = False,
 ) -> DataFrame:
     """Text logs -> ``lines(log_id string, line_no bigint, value string,
     match_id bigint)``.
@@ -61,11 +58,18 @@ def read_logs(
     ``with_match_ids=False`` it is left out.  ``global_line_no=True`` numbers
     the lines of all files as one sequence in path order (no ``match_id``),
     for ``build_events(by_log=False)``: matches numbered across all files.
+
+    ``literal=True`` takes the paths as names, not as patterns, so a file
+    ``a[1].log`` is read and ``a1.log`` beside it is not.
+
+    The lines are scanned twice, for the sums inside runs and for the runs'
+    totals; every run's lines are counted on both sides, and a difference (the
+    scans were split differently) raises.
     """
     if charset not in CHARSETS:
         raise ValueError(f"charset must be one of {CHARSETS}")
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.text(paths)
+    raw = spark.read.text([literal_path(p) for p in paths] if literal else paths)
     value = decode_cp1252(F.col("value").cast("binary")) if charset == "cp1252" else F.col("value")
     scanned = raw.select(
         F.col("_metadata.file_path").alias("log_id"),
@@ -84,10 +88,10 @@ def read_logs(
     if global_line_no:
         # one sequence over all files: the path leads the chunk key
         chunk = F.struct(F.col("log_id").alias("file"), *run)
-        numbered = running_totals(scanned, order_by="_pos", sums=sums, chunk=chunk, levels=levels)
+        numbered = running_totals(scanned, order_by="_pos", sums=sums, chunk=chunk, levels=levels, checked=True)
     else:
         chunk = F.struct(*run)
-        numbered = running_totals(scanned, order_by="_pos", sums=sums, by=["log_id"], chunk=chunk, levels=levels)
+        numbered = running_totals(scanned, order_by="_pos", sums=sums, by=["log_id"], chunk=chunk, levels=levels, checked=True)
     out = [F.col("log_id"), (F.col("_line") - 1).alias("line_no"), F.col("value")]
     if with_match_ids:
         out.append(F.col("match_id"))

@@ -5,38 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a CPU-heavy plan at least one input partition per core.
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A parquet table as a DataFrame, listed anew at every call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    A small file with one row group is one scan task, so all parsing would run
-    on one core.  When the scan has fewer partitions than the default
-    parallelism, redistribute round-robin (Spark sorts before a round-robin
-    repartition, so a retried task sees the same rows).  At cluster scale the
-    scan already has far more splits than cores and this is a no-op.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan as is
-        return df
-    return df.repartition(want) if have < want else df
 
-
-_READS: dict[tuple[str, bool], tuple[SparkSession, DataFrame]] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, *, spread_rows: bool = True) -> DataFrame:
-    """A parquet table as a DataFrame, resolved once per session and path.
-
-    Reusing the resolved DataFrame skips a file listing and footer read per
-    query; the data itself is read by every action as usual.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (path, spread_rows)
-    hit = _READS.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = spark.read.parquet(path)
-    df = spread(df) if spread_rows else df
-    _READS[key] = (spark, df)
-    return df
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """``df`` dealt round-robin to ``partitions``: an option for benchmarks and
+    tests whose small file is a single scan task.  Queries do not use it; at
+    scale a scan has far more splits than cores."""
+    return df.repartition(partitions)

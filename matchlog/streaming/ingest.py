@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.events import DEFAULT_PROTAGONIST, build_events
+from ..operators.events import build_events
 from ..sources.logs import read_logs
 
 # The binaryFile source's fixed schema (content is pruned: never read here).
@@ -35,7 +35,7 @@ def _batch_writer(out_dir: str, protagonist: str, charset: str):
         if not paths:
             return
         spark = batch.sparkSession
-        ev = build_events(read_logs(spark, paths, charset=charset, with_match_ids=True), protagonist)
+        ev = build_events(read_logs(spark, paths, charset=charset, with_match_ids=True, literal=True), protagonist)
         (
             ev.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
@@ -53,7 +53,7 @@ def start_event_stream(
     out_dir: str,
     checkpoint_dir: str,
     *,
-    protagonist: str = DEFAULT_PROTAGONIST,
+    protagonist: str,
     charset: str = "cp1252",
     pattern: str = "*.log",
     max_files_per_trigger: int = 64,

@@ -79,7 +79,7 @@ def test_message_prefixes(ev):
 def test_marts_agree_with_each_other(spark, ev):
     from matchlog.operators import marts
 
-    (s,) = marts.protagonist_summary(ev).collect()
+    (s,) = marts.protagonist_summary(ev, "p7").collect()
     (p,) = marts.kd_by_player(ev).where(F.col("player") == "p7").collect()
     assert (p.kills, p.deaths, p.final_kills, p.kd_ratio) == (s.kills, s.deaths, s.final_kills, s.kd_ratio)
     (t,) = marts.kd_by_player(ev).agg(F.sum("kills").alias("k"), F.sum("deaths").alias("d")).collect()

@@ -22,4 +22,7 @@ def test_run_job(spark):
     assert spark.read.parquet(out["beds_by_team"]).collect()[0].team == "Time Azul"
     csv = spark.read.option("header", True).csv(out["events_csv"])
     assert "categoria_evento" in csv.columns and csv.where("categoria_evento = 'PvP'").count() == 1
-    assert len([k for k in out if k not in ("events", "events_csv")]) == 17
+    assert len([k for k in out if k not in ("events", "events_csv")]) == 18
+    assert spark.read.parquet(out["line_funnel"]).first().asDict() == {"lines": 8, "chat_lines": 8, "events": 8, "matches": 1}
+    files = [f for d, _, names in os.walk(out["events"]) for f in names if f.endswith(".parquet")]
+    assert len(files) == spark.read.parquet(out["events"]).select("category").distinct().count()

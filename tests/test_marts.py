@@ -28,18 +28,18 @@ def test_protagonist_summary_and_share(spark):
             ("10:00:03", "ana morreu no void."),
         ],
     )
-    (s,) = marts.protagonist_summary(ev).collect()
+    (s,) = marts.protagonist_summary(ev, "p7").collect()
     assert (s.kills, s.deaths, s.final_kills, s.kd_ratio) == (2, 1, 1, 2.0)
-    share = {r.label: (r.n, r.pct) for r in marts.pvp_share(ev).collect()}
+    share = {r.label: (r.n, r.pct) for r in marts.pvp_share(ev, "p7").collect()}
     assert share["kills"][0] == 2 and abs(share["kills"][1] - 200 / 3) < 1e-9
 
 
 def test_no_deaths_gives_null_ratio(spark):
     ev = ev_of(spark, [("10:00:00", "bob morreu para p7.")])
-    (s,) = marts.protagonist_summary(ev).collect()
+    (s,) = marts.protagonist_summary(ev, "p7").collect()
     assert s.kd_ratio is None
     empty = ev_of(spark, [("10:00:00", "oi")])
-    assert {r.label: r.pct for r in marts.pvp_share(empty).collect()} == {"kills": None, "deaths": None}
+    assert {r.label: r.pct for r in marts.pvp_share(empty, "p7").collect()} == {"kills": None, "deaths": None}
 
 
 def test_top_killers_skip_null_and_break_ties_by_name(spark):

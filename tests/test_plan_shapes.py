@@ -5,9 +5,8 @@ import pytest
 
 from conftest import SF_SMALL
 
-import __spark_entry__ as entry_mod
+from matchlog.plans.catalog import QUERIES
 
-QUERIES = entry_mod.queries()
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
 
@@ -50,9 +49,9 @@ def test_raw_logs_reach_the_event_table_with_one_shuffle(spark, tmp_path):
     from matchlog.sources.logs import read_logs
 
     (tmp_path / "a.log").write_bytes("[CHAT] O jogo iniciou!\n[CHAT] oi\n".encode("cp1252"))
-    assert len(_full_row_hash_exchanges(build_events(read_logs(spark, str(tmp_path))))) == 1
+    assert len(_full_row_hash_exchanges(build_events(read_logs(spark, str(tmp_path)), "p7"))) == 1
     # without the read-pass ids, build_events needs its own segmentation shuffle
-    two = build_events(read_logs(spark, str(tmp_path), with_match_ids=False))
+    two = build_events(read_logs(spark, str(tmp_path), with_match_ids=False), "p7")
     assert len(_full_row_hash_exchanges(two)) >= 2
 
 
@@ -60,3 +59,37 @@ def test_event_table_from_the_fixture_has_one_row_shuffle(spark):
     df = QUERIES["build_event_table"](spark, SF_SMALL)
     assert len(_full_row_hash_exchanges(df)) == 1
     assert len(_full_row_hash_exchanges(QUERIES["top_killers"](spark, SF_SMALL))) == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_logs_need_neither_a_second_scan_nor_a_join(spark):
+    plan = _plan(QUERIES["build_event_table"](spark, SF_SMALL)).split("== Initial Plan ==")[-1]
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_single_partition_exchanges_stand_over_reduced_chunk_totals(spark):
+    """Under a global sum no single task orders first-level chunk totals."""
+    for name in ("segment_matches_chunked", "segment_matches_global"):
+        lines = _plan(QUERIES[name](spark, SF_SMALL)).split("\n")
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                below = _subtree(lines, i)
+                assert sum("HashAggregate" in b for b in below) >= 4, (name, below[:6])
+
+
+def test_match_spans_and_category_totals_stay_on_the_hash_path(spark):
+    assert "SortAggregate" not in _plan(QUERIES["match_spans"](spark, SF_SMALL))
+    lines = _plan(QUERIES["events_by_category"](spark, SF_SMALL)).split("\n")
+    (at,) = [i for i, line in enumerate(lines) if "Expand" in line]
+    assert any("HashAggregate" in line for line in _subtree(lines, at))
+
+
+def test_marker_regex_runs_behind_its_guard(spark):
+    """With large logs, the second scan's totals test a literal first."""
+    from matchlog.plans.catalog import events
+
+    plan = events(spark, SF_SMALL, chunk_rows=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains" in plan or "contains(" in plan.lower()

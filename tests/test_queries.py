@@ -4,16 +4,19 @@ and the driver entry point."""
 import pytest
 
 from conftest import SF_SMALL
-from matchlog.plans.verify import compare, duck
+from matchlog.plans.catalog import QUERIES
+from matchlog.plans.oracle import oracle_sql
+from oracle_check import compare, duck
 
 import __spark_entry__ as entry_mod
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+ORACLE = oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_mod.queries())
+    assert set(ORACLE) <= set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
 
 
 @pytest.fixture(scope="module")

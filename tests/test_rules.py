@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import events_of
+from conftest import chat_line, events_of
 
 
 GOLDEN = [
@@ -80,5 +80,58 @@ def test_no_python_udf_in_plan(spark):
     from conftest import lines_df, chat_line
     from matchlog.operators.events import build_events
 
-    plan = build_events(lines_df(spark, [chat_line("ana morreu.")]))._jdf.queryExecution().executedPlan().toString()
+    plan = build_events(lines_df(spark, [chat_line("ana morreu.")]), "p7")._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_rules_do_not_depend_on_the_parser_setting(spark):
+    """Raw and escaped string literals give the same classes and captures."""
+    from matchlog.plans.catalog import QUERIES
+
+    from conftest import SF_SMALL
+
+    names = ("classify_events", "enrich_actor", "enrich_detail", "flag_own")
+    key = "spark.sql.parser.escapedStringLiterals"
+    found = []
+    for value in ("false", "true"):
+        spark.conf.set(key, value)
+        try:
+            found.append([sorted(map(str, QUERIES[n](spark, SF_SMALL).collect())) for n in names])
+        finally:
+            spark.conf.unset(key)
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("text", ["", "it's", "a\\b", "'", "\\'", "''x\\\\", 'say "x"', "\\d+'"])
+@pytest.mark.parametrize("value", ["false", "true"])
+def test_sql_literals(spark, text, value):
+    from pyspark.sql import functions as F
+
+    from matchlog.functions.rules import sql_literal
+
+    spark.conf.set("spark.sql.parser.escapedStringLiterals", value)
+    try:
+        assert spark.range(1).select(F.expr(sql_literal(text)).alias("t")).first().t == text
+    finally:
+        spark.conf.unset("spark.sql.parser.escapedStringLiterals")
+
+
+def test_owner_of_each_log(spark):
+    from pyspark.sql import functions as F
+
+    from matchlog.operators import marts
+    from matchlog.operators.events import build_events, with_owner
+
+    msgs = ["O jogo iniciou!", "Você comprou Lã.", "ana morreu para bia.", "bia morreu para ana.", "+20 XP", "cid morreu para ana."]
+    rows = [(log, i, chat_line(m)) for log in (1, 2, 3) for i, m in enumerate(msgs)]
+    lines = spark.createDataFrame(rows, "log_id long, line_no long, value string")
+    owners = spark.createDataFrame([(1, "ana"), (2, "bia")], "log_id long, owner string")
+    ev = build_events(with_owner(lines, owners))
+    own = lambda log: {r.message: (r.actor, r.is_own) for r in ev.where(F.col("log_id") == log).collect()}
+    assert own(1)["Você comprou Lã."][0] == "ana" and own(2)["+20 XP"][0] == "bia" and own(3)["+20 XP"][0] is None
+    assert own(1)["cid morreu para ana."][1] and not own(2)["cid morreu para ana."][1]
+    s = marts.protagonist_summary(ev, owners).first()
+    assert (s.kills, s.deaths) == (2 + 1, 1 + 1)
+    assert build_events(with_owner(lines, owners), exact_name=True).count() == 18
+    with pytest.raises(ValueError):
+        build_events(lines)

@@ -119,3 +119,43 @@ def test_category_subset_keeps_match_ids(spark, cats):
     part = events(spark, SF_ORACLE, chunk_rows=300, categories=cats)
     assert part.count() == full.count() > 0
     assert part.exceptAll(full).count() == 0
+
+
+def test_chunk_table_is_bounded_by_rows(spark):
+    """Many small logs over one global line order: no chunk rows but for large
+    logs, and at most rows / chunk_rows of them and one more per large log."""
+    from pyspark.sql import functions as F
+
+    from matchlog.operators.segment import large_groups
+    from matchlog.plans.catalog import _framed
+
+    framed = _framed(spark, "/root/testdata/sf0.1")
+    for chunk_rows in (2621, 60, 20):
+        large = large_groups(framed, ["log_id"], "line_no", chunk_rows)
+        chunks = (
+            framed.join(large, "log_id")
+            .groupBy("log_id", F.floor((F.col("line_no") - F.col("_from")) / F.col("_width")))
+            .count()
+        )
+        sizes = framed.groupBy("log_id").count().where(F.col("count") > chunk_rows)
+        rows, found = sizes.agg(F.sum("count"), F.count("*")).first()
+        assert chunks.count() <= (rows or 0) / chunk_rows + found
+        assert large.count() == found
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 3, 20, 10_000])
+@pytest.mark.parametrize("levels", [1, 2])
+def test_small_and_large_logs_together(spark, chunk_rows, levels):
+    rnd = random.Random(chunk_rows * 10 + levels)
+    rows, at = [], 0
+    for log in [1] * 300 + [2] * 7 + [None] * 25 + [3] + [4] * 40:
+        at += rnd.choice([1, 1, 2, 50])
+        rows.append((log, at, rnd.choice(["O jogo iniciou!", "oi", "oi"])))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "log_id long, line_no long, message string")
+    got = {(r.log_id, r.line_no): r.match_id for r in assign_match_ids(df, chunk_rows=chunk_rows, levels=levels).collect()}
+    seen, expected = {}, {}
+    for log, line, message in sorted(rows, key=lambda r: r[1]):
+        seen[log] = seen.get(log, 0) + (message == "O jogo iniciou!")
+        expected[log, line] = seen[log]
+    assert got == expected

@@ -1,5 +1,6 @@
 """CSV and partitioned Parquet sinks round-trip the event table."""
 
+import csv
 import os
 import tempfile
 
@@ -12,7 +13,7 @@ from matchlog.sources.sinks import keep, write_csv, write_parquet
 
 def small_events(spark):
     msgs = ["O jogo iniciou!", "ana morreu para p7.", "+3 Ouro", "oi"]
-    return build_events(lines_df(spark, [chat_line(m) for m in msgs]))
+    return build_events(lines_df(spark, [chat_line(m) for m in msgs]), "p7")
 
 
 def test_csv_round_trip(spark):
@@ -30,7 +31,10 @@ def test_partitioned_parquet_prunes_by_category(spark):
     ev = small_events(spark)
     out = os.path.join(tempfile.mkdtemp(prefix="matchlog-pq-"), "events")
     write_parquet(ev, out)
-    assert sorted(os.listdir(out))[:2] == ["_SUCCESS", "category=match_start"] or "category=pvp" in os.listdir(out)
+    found = {d for d in os.listdir(out) if d.startswith("category=")}
+    assert found == {f"category={c}" for c in ("match_start", "pvp", "pickup", "system")}
+    for d in found:
+        assert len([f for f in os.listdir(os.path.join(out, d)) if f.endswith(".parquet")]) == 1
     pvp = spark.read.parquet(out).where(F.col("category") == "pvp")
     plan = pvp._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(category" in plan
@@ -44,3 +48,29 @@ def test_keep_persists(spark):
         assert "InMemoryTableScan" in ev._jdf.queryExecution().executedPlan().toString()
     finally:
         ev.unpersist()
+
+
+AWKWARD = ['say "hi" \\ ok', "a, b", "\ttab first", "blank last  ", '"', "\\", 'x","y', "'", "é»"]
+
+
+def test_csv_keeps_every_character(spark, tmp_path):
+    rows = [(i, text, None if i % 2 else "z") for i, text in enumerate(AWKWARD)]
+    df = spark.createDataFrame(rows, "n int, message string, other string")
+    for bom in (False, True):
+        out = str(tmp_path / f"csv{bom}")
+        write_csv(df.coalesce(1), out, bom=bom)
+        (name,) = [f for f in os.listdir(out) if f.endswith(".csv")]
+        with open(os.path.join(out, name), encoding="utf-8-sig" if bom else "utf-8", newline="") as f:
+            got = list(csv.reader(f))
+        assert got[0] == ["n", "message", "other"]
+        assert got[1:] == [[str(n), message, other or ""] for n, message, other in rows]
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    back = spark.read.schema(df.schema).options(**options).csv(str(tmp_path / "csvFalse"))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_csv_of_events_round_trips_in_full(spark, tmp_path):
+    ev = small_events(spark)
+    write_csv(ev, str(tmp_path / "events"))
+    back = spark.read.schema(ev.schema).option("header", True).csv(str(tmp_path / "events"))
+    assert sorted(map(str, back.fillna("").collect())) == sorted(map(str, ev.fillna("").collect()))

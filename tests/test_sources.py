@@ -41,7 +41,6 @@ def test_read_logs_orders_lines_across_splits(spark, log_dir, chunk_rows, levels
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         lines = read_logs(spark, log_dir, chunk_rows=chunk_rows, levels=levels)
-        assert lines.rdd.getNumPartitions() >= 1
         rows = lines.collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -71,7 +70,7 @@ def test_utf8_logs(spark, tmp_path):
 def test_end_to_end_from_files(spark, log_dir):
     from matchlog.operators.events import build_events
 
-    ev = build_events(read_logs(spark, log_dir))
+    ev = build_events(read_logs(spark, log_dir), "p7")
     cats = {r.category: r["count"] for r in ev.groupBy("category").count().collect()}
     assert cats["purchase"] == 1 and cats["system"] == 3001
     assert ev.where(F.col("match_id") != 0).count() == 0
@@ -90,8 +89,8 @@ def test_match_ids_in_the_read_pass_equal_segmentation(spark, tmp_path):
     (tmp_path / "n.log").write_bytes("[CHAT] O jogo iniciou!\r\nx\r\n[CHAT] y\r\n".encode("cp1252"))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
-        one = build_events(read_logs(spark, str(tmp_path), with_match_ids=True, chunk_rows=5))
-        two = build_events(read_logs(spark, str(tmp_path), with_match_ids=False), chunk_rows=50)
+        one = build_events(read_logs(spark, str(tmp_path), with_match_ids=True, chunk_rows=5), "p7")
+        two = build_events(read_logs(spark, str(tmp_path), with_match_ids=False), "p7", chunk_rows=50)
         a = sorted((r.log_id, r.line_no, r.match_id) for r in one.collect())
         b = sorted((r.log_id, r.line_no, r.match_id) for r in two.collect())
     finally:
@@ -152,9 +151,9 @@ def test_global_numbering_recomputes_carried_ids(spark, tmp_path):
     assert "match_id" in lines.columns
     # carried ids replaced: a recomputed global numbering with a shifted order
     shifted = lines.withColumn("line_no", F.col("line_no") + 1000)
-    glob = sorted((r.line_no, r.match_id) for r in build_events(shifted, by_log=False).collect())
+    glob = sorted((r.line_no, r.match_id) for r in build_events(shifted, "p7", by_log=False).collect())
     assert glob == [(1000, 1), (1001, 1), (1002, 2)]
-    assert build_events(lines, with_match=False).where("match_id is not null").count() == 0
+    assert build_events(lines, "p7", with_match=False).where("match_id is not null").count() == 0
 
 
 def test_fixture_render_keeps_rows_with_nulls(spark):
@@ -178,9 +177,46 @@ def test_global_line_numbers_across_files(spark, tmp_path, levels):
     try:
         lines = read_logs(spark, str(tmp_path), global_line_no=True, chunk_rows=1, levels=levels)
         got = sorted((r.line_no, r.log_id.rsplit("/", 1)[-1]) for r in lines.collect())
-        ev = sorted((r.line_no, r.match_id) for r in build_events(lines, by_log=False).collect())
+        ev = sorted((r.line_no, r.match_id) for r in build_events(lines, "p7", by_log=False).collect())
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert "match_id" not in lines.columns
     assert got == [(0, "a.log"), (1, "a.log"), (2, "b.log"), (3, "b.log"), (4, "b.log")]
     assert ev == [(0, 1), (1, 1), (2, 2), (3, 2)]
+
+
+def test_a_table_is_listed_anew_at_every_read(spark, tmp_path):
+    from matchlog.sources.tables import read_table
+
+    rows = spark.range(5)
+    rows.write.parquet(str(tmp_path / "t.parquet"))
+    assert read_table(spark, str(tmp_path), "t").count() == 5
+    rows.write.mode("append").parquet(str(tmp_path / "t.parquet"))
+    assert read_table(spark, str(tmp_path), "t").count() == 10
+
+
+def test_literal_names(spark, tmp_path):
+    for name in ("a[1].log", "a1.log", "a [1].log"):
+        (tmp_path / name).write_text(f"[CHAT] {name}\n")
+    got = read_logs(spark, [str(tmp_path / "a[1].log"), str(tmp_path / "a [1].log")], literal=True).collect()
+    assert sorted(r.value for r in got) == ["[CHAT] a [1].log", "[CHAT] a[1].log"]
+    assert [r.value for r in read_logs(spark, str(tmp_path / "a[1].log")).collect()] == ["[CHAT] a1.log"]
+
+
+def test_scans_that_are_split_differently_raise(spark, log_dir):
+    """Totals from a scan with another split layout: an error, not fewer rows."""
+    from pyspark.errors import PySparkException
+
+    from matchlog.operators.segment import running_totals
+
+    def scan(split):
+        value = F.col("id")
+        return spark.range(0, 1000, 1, 4).select(value.alias("_pos"), F.floor(value / split).alias("_split"))
+
+    chunk = F.struct(F.col("_split").alias("split"), F.expr("_pos div 50").alias("run"))
+    how = {"order_by": "_pos", "sums": {"n": F.lit(1)}, "chunk": chunk, "checked": True}
+    same = running_totals(scan(100), totals_from=scan(100).withColumn("n", F.lit(1)), **how)
+    assert sorted((r["_pos"], r["n"]) for r in same.collect()) == [(i, i + 1) for i in range(1000)]
+    for other in (scan(70), scan(100).where("_pos < 900"), scan(100).where("_pos % 97 <> 5")):
+        with pytest.raises(PySparkException, match="different chunks"):
+            running_totals(scan(100), totals_from=other.withColumn("n", F.lit(1)), **how).collect()
