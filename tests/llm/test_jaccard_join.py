@@ -121,3 +121,41 @@ def test_components(spark):
         top[max(x, y)] = min(x, y)
     expected = {k: root(k) for a, b in edges if a != b for k in (a, b)}
     assert {r["node"]: r["component"] for r in connected_components(df).collect()} == expected
+
+
+def test_set_sizes_equal_plain_sets():
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcé漢") for _ in range(rnd.choice([1, 2, 3, 90])))
+    texts = ["", " ", "x", "A b\tC", "a B c", "é" * 100, "É" * 100]
+    texts += [rnd.choice([" ", "\n", "\x0b\r "]).join(word() for _ in range(rnd.randint(0, 40))) for _ in range(200)]
+    for seed in (0, 1):
+        sets = jj.ngram_sets(texts, seed=seed)
+        assert sets.sizes.tolist() == [len(ngrams(t)) for t in texts]
+        by_set = {}
+        for t, i in zip(texts, sets.ids().tolist()):
+            by_set.setdefault(ngrams(t), set()).add(i)
+        assert all(len(v) == 1 for v in by_set.values())
+        assert len({next(iter(v)) for v in by_set.values()}) == len(by_set)
+        one_by_one = [jj.ngram_sets([t], seed=seed)[0].tolist() for t in texts]
+        assert one_by_one == [sets[i].tolist() for i in range(len(texts))]
+    assert jj.ngram_sets(texts, seed=0)[2].tolist() != jj.ngram_sets(texts, seed=1)[2].tolist()
+
+
+def test_another_seed_is_taken_when_two_sets_share_an_id(spark, monkeypatch):
+    """All ids equal under the first seed: the checks differ, so it goes on."""
+    rows = [(1, "a b c d e f"), (2, "g h i j k l"), (3, "a b c d e f")]
+    seen = []
+    real = jj._first_pass
+
+    def first(batches, n, seed):
+        seen.append(seed)
+        for batch in real(batches, n, seed):
+            if seed == 0 and batch.column("node").null_count == 0:
+                node = batch.schema.get_field_index("node")
+                import pyarrow as pa
+
+                batch = batch.set_column(node, "node", pa.array([7] * batch.num_rows, pa.int64()))
+            yield batch
+
+    monkeypatch.setattr(jj, "_first_pass", first)
+    assert got(jj.similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
