@@ -38,6 +38,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # No preallocated log space: with many small stores it outweighs the state.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
 LAST_ID = (1 << 63) - 1
