@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACES, scratch_path
+from .common import SPACES, scratch_path, stored
 
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -51,7 +51,10 @@ def sha256(normal: Column) -> Column:
 
 def normalised(text: Column) -> Column:
     """The text without white space, null as empty."""
-    return F.translate(F.coalesce(text, F.lit("")), SPACES, "")
+    text = F.coalesce(text, F.lit(""))
+    for space in SPACES:
+        text = F.replace(text, F.lit(space), F.lit(""))
+    return text
 
 
 def rows_of(docs: DataFrame, digest: Callable[[Column], Column], *more: Column) -> DataFrame:
@@ -144,25 +147,37 @@ def deduplicate(
 def decide(docs: DataFrame, state: DataFrame, *, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     normal = normalised(F.col("text"))
     rows = rows_of(docs, digest, sha256(normal).alias("text_sha256")).join(state, "digest")
+    rows = stored(rows, "dedup-rows")
+
+    # Full texts of the hits, each different text of a digest once.
+    hits = rows.where("group_size > 1").select("doc_id", "n_chars", "digest").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(F.coalesce("text", F.lit(""))).alias("n"), "text")
+    same = F.col("t.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("t.n") == F.col("h.n_chars"))
+    own = texts.alias("t").join(hits.alias("h"), same).select("digest", normal.alias("normal"))
+    different = own.where(digest(F.col("normal")) == F.col("digest")).groupBy("digest", "normal").agg(F.count(F.lit(1)).alias("n"))
+    collisions = stored(different.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("digest"), "dedup-collisions")
+    answer = ["doc_id", "keep_id", "group_size", "text_sha256", "locator"]
+    out = rows.select(*answer)
+    if not collisions.isEmpty():
+        again = _by_bytes(docs, collisions, digest)
+        out = rows.join(collisions, "digest", "left_anti").select(*answer).unionByName(again)
+    return out.select(
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "locator"
+    )
 
-    hits = rows.where("group_size > 1").select("doc_id", "digest").distinct()
-    texts = rows_of(docs, digest, normal.alias("normal"))
-    same_row = (F.col("t.doc_id").eqNullSafe(F.col("h.doc_id"))) & (F.col("t.digest") == F.col("h.digest"))
-    checked = texts.alias("t").join(hits.alias("h"), same_row).groupBy("t.digest", "normal").agg(F.max("n_chars").alias("n_chars"))
-    collisions = checked.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("digest")
 
-    # Rows of colliding digests, decided by their bytes.
-    parts = texts.withColumn("text_sha256", sha256(F.col("normal"))).join(collisions, "digest", "left_semi")
+def _by_bytes(docs: DataFrame, collisions: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    """Rows of colliding digests, decided by their full texts."""
+    parts = rows_of(docs, digest, normalised(F.col("text")).alias("normal")).join(collisions, "digest", "left_semi")
     first = F.max(F.struct("n_chars", (-F.coalesce("doc_id", F.lit(LAST_ID))).alias("before")))
     groups = parts.groupBy("normal").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
     keep = -F.col("first.before")
-    by_bytes = parts.join(groups, "normal").select(
-        "doc_id", F.when(keep != LAST_ID, keep).alias("keep_id"), "group_size", "text_sha256", F.lit(None).cast("string").alias("locator")
-    )
-    by_digest = rows.join(collisions, "digest", "left_anti").select("doc_id", "keep_id", "group_size", "text_sha256", "locator")
-    both = by_digest.unionByName(by_bytes)
-    return both.select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "locator"
+    return parts.join(groups, "normal").select(
+        "doc_id",
+        F.when(keep != LAST_ID, keep).alias("keep_id"),
+        "group_size",
+        sha256(F.col("normal")).alias("text_sha256"),
+        F.lit(None).cast("string").alias("locator"),
     )
 
 
