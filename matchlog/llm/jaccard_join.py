@@ -31,15 +31,15 @@ class of its own and takes the class of its text; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, steps, stored, texts_of
+from .common import bounded_batches, ragged, steps, stored, texts_of
 from .components import connected_components
 
 N = 5
@@ -66,52 +66,111 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+# Words over so many bytes are hashed one by one.
+LONG_WORD = 64
+_BYTE_VALUES = mix(np.arange(256, dtype=np.uint64), 99)
+_BASE = 0x9FB21C651E98DF25  # odd, so that its powers have inverses
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers_to(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2 ** 64."""
+    if len(_powers[0]) <= n:
+        for k, x in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps_ = np.full(n + 1, x, np.uint64)
+            steps_[0] = 1
+            _powers[k] = np.cumprod(steps_, dtype=np.uint64)
+    return _powers
+
+
 def word_hashes(texts: list[str], seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, and each text's first word."""
+    """Hashes of all words of the texts, and each text's first word.  A word's
+    hash is the difference of two running sums over the bytes."""
     raw = [t.encode("utf-8") for t in texts]
     data = _LOWER[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
     space = _BYTE_CLASS[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).astype(np.int8)))
     begin, end = edge[0::2], edge[1::2]
-    offsets = np.empty(2 * len(begin) + 1, np.int32)
-    offsets[0:-1:2], offsets[1::2], offsets[-1] = begin, end, len(data)
-    pieces = pa.StringArray.from_buffers(2 * len(begin), pa.py_buffer(offsets), pa.py_buffer(data.tobytes()))
-    coded = pieces.take(pa.array(np.arange(0, 2 * len(begin), 2))).dictionary_encode()
-    names = np.array(coded.dictionary.to_pylist(), object)
-    hashes = mix(pd.util.hash_array(names, categorize=False), seed) if len(names) else np.empty(0, np.uint64)
+    power, inverse = _powers_to(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * power[: len(data)], out=sums[1:])
+    hashes = mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64), seed)
+    for k in np.flatnonzero(end - begin > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[begin[k] : end[k]].tobytes(), digest_size=8, salt=str(seed).encode()).digest()
+        hashes[k] = np.frombuffer(digest, np.uint64)[0]
     sizes = np.array([len(r) + 1 for r in raw], np.int64)
-    return hashes[coded.indices.to_numpy()], np.searchsorted(begin, np.append(0, np.cumsum(sizes)))
+    return hashes, np.searchsorted(begin, np.append(0, np.cumsum(sizes)))
 
 
-def ngram_sets(texts: list[str], n: int = N, seed: int = 0) -> list[np.ndarray]:
-    """The distinct n-grams of each text as sorted hashes."""
-    words, first = word_hashes(texts, seed)
-    out = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        k = min(n, b - a)
-        if not k:
-            out.append(np.empty(0, np.uint64))
-            continue
-        h = np.full(b - a - k + 1, k, np.uint64)
-        for i in range(k):
-            h = mix(h * GOLDEN + words[a + i : b - k + 1 + i])
-        out.append(np.unique(h))
-    return out
+class Sets:
+    """The distinct n-grams of some texts: text i has the sorted hashes
+    ``flat[bounds[i] : bounds[i + 1]]``."""
 
+    def __init__(self, flat: np.ndarray, bounds: np.ndarray):
+        self.flat, self.bounds = flat, bounds
+        self.sizes = np.diff(bounds)
 
-def set_ids(s: np.ndarray) -> tuple[int, int]:
-    return int(mix(s, 1).sum(dtype=np.uint64).astype(np.int64)), int(mix(s, 2).sum(dtype=np.uint64).astype(np.int64))
+    def __len__(self) -> int:
+        return len(self.sizes)
 
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.flat[self.bounds[i] : self.bounds[i + 1]]
 
-def prefix(s: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first tokens of the set under an order: enough that similar sets
+    def _sums(self, values: np.ndarray) -> np.ndarray:
+        ends = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+        return (ends[self.bounds[1:]] - ends[self.bounds[:-1]]).view(np.int64)
+
+    def ids(self) -> np.ndarray:
+        """An id for each set, the same for equal sets."""
+        return self._sums(mix(self.flat, 1))
+
+    def checks(self) -> np.ndarray:
+        return self._sums(mix(self.flat, 2))
+
+    def keys(self, levels: np.ndarray, order: int) -> np.ndarray:
+        """Sort keys of all tokens under an order of tokens."""
+        level = levels[(self.flat & np.uint64(WIDTH - 1)).astype(np.int64)].astype(np.uint64)
+        return (level << np.uint64(58)) | (mix(self.flat, 10 + order) >> np.uint64(6))
+
+
+def ngram_sets(texts: list[str], n: int = N, seed: int = 0) -> Sets:
+    words, first = word_hashes(texts, seed)
+    count = np.diff(first)
+    windows = np.full(max(len(words) - n + 1, 0), n, np.uint64)
+    for i in range(n):
+        windows = mix(windows * GOLDEN + words[i : len(words) - n + 1 + i]) if len(windows) else windows
+    sizes = np.where(count >= n, count - n + 1, (count > 0).astype(np.int64))
+    bounds = np.append(0, np.cumsum(sizes))
+    full = np.flatnonzero(count >= n)
+    flat = np.empty(int(bounds[-1]), np.uint64)
+    flat[ragged(bounds[full], sizes[full])] = windows[ragged(first[full], sizes[full])]
+    for d in np.flatnonzero((count > 0) & (count < n)).tolist():
+        h = np.full(1, count[d], np.uint64)
+        for w in range(first[d], first[d + 1]):
+            h = mix(h * GOLDEN + words[w : w + 1])
+        flat[bounds[d]] = h[0]
+    row = np.repeat(np.arange(len(texts)), sizes)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        flat[a:b].sort()
+    keep = np.ones(len(flat), bool)
+    keep[1:] = (flat[1:] != flat[:-1]) | (row[1:] != row[:-1])
+    return Sets(flat[keep], np.append(0, np.cumsum(np.bincount(row[keep], minlength=len(texts)))))
+
+
+def first_places(keys: np.ndarray, percent: int) -> np.ndarray:
+    """Places of a set's first tokens by their keys: enough that similar sets
     share one."""
-    count = len(s) - -(-len(s) * percent // 100) + 1
-    key = (levels[(s & np.uint64(WIDTH - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (mix(s, 10 + order) >> np.uint64(6))
-    if count < len(s):
-        some = np.argpartition(key, count - 1)[:count]
-        return s[some[np.argsort(key[some])]]
-    return s[np.argsort(key)]
+    n = len(keys)
+    count = n - -(-n * percent // 100) + 1
+    if count >= n:
+        return np.argsort(keys)
+    some = np.argpartition(keys, count - 1)[:count]
+    return some[np.argsort(keys[some])]
+
+
+def prefix(s: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.ndarray:
+    keys = Sets(s, np.array([0, len(s)])).keys(levels, order)
+    return s[first_places(keys, percent)]
 
 
 def _first_pass(batches: Iterator[pa.RecordBatch], n: int, seed: int) -> Iterator[pa.RecordBatch]:
@@ -121,17 +180,15 @@ def _first_pass(batches: Iterator[pa.RecordBatch], n: int, seed: int) -> Iterato
     kind = None
     for step in steps(batches):
         sets = ngram_sets(texts_of(step), n, seed)
-        every = np.concatenate(sets)
-        counts += np.bincount((every & np.uint64(WIDTH - 1)).astype(np.int64), minlength=WIDTH)
-        ids = [set_ids(s) for s in sets]
+        counts += np.bincount((sets.flat & np.uint64(WIDTH - 1)).astype(np.int64), minlength=WIDTH)
         kind = step.column("doc_id").type
         rows = len(sets)
         yield pa.RecordBatch.from_arrays(
             [
                 step.column("doc_id"),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([a for a, _ in ids], pa.int64()),
-                pa.array([b for _, b in ids], pa.int64()),
+                pa.array(sets.sizes.astype(np.int64)),
+                pa.array(sets.ids()),
+                pa.array(sets.checks()),
                 pa.nulls(rows, pa.int32()),
                 pa.nulls(rows, pa.binary()),
             ],
@@ -174,25 +231,28 @@ def _prefix_rows(batches: Iterator[pa.RecordBatch], n: int, seed: int, percent:
     seen: set[int] = set()
     table = levels.value
     for step in steps(batches):
-        token, node, size, place, salt = [], [], [], [], []
-        for s in ngram_sets(texts_of(step), n, seed):
-            if not len(s):
-                continue
-            name = set_ids(s)[0]
-            if name in seen:
+        token, node, size = [], [], []
+        sets = ngram_sets(texts_of(step), n, seed)
+        keys, names = sets.keys(table, 1), sets.ids().tolist()
+        for i, name in enumerate(names):
+            a, b = sets.bounds[i], sets.bounds[i + 1]
+            if a == b or name in seen:
                 continue
             seen.add(name)
-            p = prefix(s, table, 1, percent)
-            token.append(p.view(np.int64))
-            node.append(np.full(len(p), name, np.int64))
-            size.append(np.full(len(p), len(s), np.int32))
-            place.append(np.arange(len(p), dtype=np.int32))
-            level = table[(p & np.uint64(WIDTH - 1)).astype(np.int64)].astype(np.int64)
-            parts = np.left_shift(1, np.maximum(level - HOT + 1, 0))
-            salt.append(np.where(parts > 1, 1 + (name & 0x7FFFFFFF) % parts, 0).astype(np.int32))
+            p = sets.flat[a:b][first_places(keys[a:b], percent)]
+            token.append(p)
+            node.append(name)
+            size.append(b - a)
         if token:
-            columns = [pa.array(np.concatenate(x)) for x in (token, salt, node, size, place)]
-            yield pa.RecordBatch.from_arrays(columns, ["token", "salt", "node", "n", "place"])
+            each = [len(p) for p in token]
+            flat = np.concatenate(token)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(each) - each, each)
+            owner = np.repeat(np.array(node, np.int64), each)
+            level = table[(flat & np.uint64(WIDTH - 1)).astype(np.int64)].astype(np.int64)
+            parts = np.left_shift(1, np.maximum(level - HOT + 1, 0))
+            salt = np.where(parts > 1, 1 + (owner & 0x7FFFFFFF) % parts, 0)
+            columns = [flat.view(np.int64), salt.astype(np.int32), owner, np.repeat(np.array(size, np.int32), each), place.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "salt", "node", "n", "place"])
 
 
 def _texts_of_nodes(batches: Iterator[pa.RecordBatch], n: int, seed: int) -> Iterator[pa.RecordBatch]:
@@ -201,9 +261,9 @@ def _texts_of_nodes(batches: Iterator[pa.RecordBatch], n: int, seed: int) -> Ite
     for step in steps(batches):
         node, blob = [], []
         texts = texts_of(step)
-        for t, s in zip(texts, ngram_sets(texts, n, seed)):
-            name = set_ids(s)[0]
-            if len(s) and name not in seen:
+        sets = ngram_sets(texts, n, seed)
+        for t, name, size in zip(texts, sets.ids().tolist(), sets.sizes.tolist()):
+            if size and name not in seen:
                 seen.add(name)
                 raw = t.encode()
                 node.append(name)
@@ -223,7 +283,8 @@ def _more_orders(batches: Iterator[pa.RecordBatch], n: int, seed: int, percent:
         sets = ngram_sets(_open(batch.column("text").to_pylist()), n, seed)
         columns = [batch.column("node"), batch.column("text")]
         for order in (2, 3):
-            own = [prefix(s, levels.value, order, percent) for s in sets]
+            keys = sets.keys(levels.value, order)
+            own = [sets[i][first_places(keys[sets.bounds[i] : sets.bounds[i + 1]], percent)] for i in range(len(sets))]
             ends = np.append(0, np.cumsum([len(p) for p in own])).astype(np.int32)
             flat = (np.concatenate(own) >> np.uint64(32)).astype(np.uint32).view(np.int32) if own else np.empty(0, np.int32)
             columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
@@ -236,9 +297,9 @@ def _verify(batches: Iterator[pa.RecordBatch], n: int, seed: int, percent: int)
         names, at = np.unique(np.concatenate([a, b]), return_index=True)
         k = len(a)
         blobs = [(batch.column("text_a") if i < k else batch.column("text_b"))[int(i % k)].as_py() for i in at]
-        sets = dict(zip(names.tolist(), ngram_sets(_open(blobs), n, seed)))
+        sets = ngram_sets(_open(blobs), n, seed)
         keep = []
-        for x, y in zip(a.tolist(), b.tolist()):
+        for x, y in zip(np.searchsorted(names, a).tolist(), np.searchsorted(names, b).tolist()):
             p, q = sets[x], sets[y]
             both = len(np.intersect1d(p, q, assume_unique=True))
             keep.append(100 * both >= percent * (len(p) + len(q) - both))
