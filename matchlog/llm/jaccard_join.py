@@ -15,7 +15,9 @@ ties by another hash, so a passage that many documents share stands last.
 - Orders 2 and 3: a pair is kept only if it shares a prefix token under them
   too.  What is left is verified on the full sets.
 - Closing round: groups whose members are still in different components give
-  the pairs across components that no filter excludes and no round verified.
+  the pairs across components that no filter excludes and no round verified.  A
+  pair whose tokens before this one are the same was met there and is left out
+  here.
 
 So every pair that can be similar is either verified or already connected, and
 copies of one text, or near copies of one another, are never paired in full.
@@ -378,13 +380,14 @@ def similar_classes(
     near = connected_components(links)
 
     placed = alive.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = stored(placed, "jaccard-placed")
+    before = F.lag("token").over(Window.partitionBy("node").orderBy("place"))
+    placed = stored(placed.withColumn("before", before), "jaccard-placed")
     parts = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     still = placed.join(parts.select("token"), "token", "left_semi")
     across = (
         still.alias("x")
         .join(still.alias("y"), "token")
-        .where("x.node < y.node AND x.component <> y.component")
+        .where("x.node < y.node AND x.component <> y.component AND (x.before IS NULL OR y.before IS NULL OR x.before <> y.before)")
         .where(fits)
         .select(*ordered)
         .distinct()
