@@ -33,7 +33,7 @@ from .common import stored
 # The band: terms in at most one of COMMONEST and at least one of RAREST texts.
 COMMONEST, RAREST = 8, 300
 # Subset r holds one term in PRIMES[r] of the lexicon.
-PRIMES = (7, 11, 13, 17, 23, 31, 43, 61, 89, 127, 179, 251, 359, 509, 719, 1021)
+PRIMES = (13, 17, 23, 31, 43, 61, 89, 127, 179, 251, 359, 509, 719, 1021, 1447, 2053)
 
 
 def terms_of(text: Column) -> Column:
