@@ -253,7 +253,8 @@ def _prefix_rows(batches: Iterator[pa.RecordBatch], n: int, seed: int, percent:
             level = table[(flat & np.uint64(WIDTH - 1)).astype(np.int64)].astype(np.int64)
             parts = np.left_shift(1, np.maximum(level - HOT + 1, 0))
             salt = np.where(parts > 1, 1 + (owner & 0x7FFFFFFF) % parts, 0)
-            columns = [flat.view(np.int64), salt.astype(np.int32), owner, np.repeat(np.array(size, np.int32), each), place.astype(np.int32)]
+            # 48 bits name a token: another token of that name adds candidates.
+            columns = [(flat >> np.uint64(16)).view(np.int64), salt.astype(np.int32), owner, np.repeat(np.array(size, np.int32), each), place.astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "salt", "node", "n", "place"])
 
 
@@ -279,7 +280,7 @@ def _open(blobs: list[bytes]) -> list[str]:
 
 
 def _more_orders(batches: Iterator[pa.RecordBatch], n: int, seed: int, percent: int, levels) -> Iterator[pa.RecordBatch]:
-    """Prefixes under orders 2 and 3; 32 bits of a token do, as they only
+    """Prefixes under orders 2 and 3; 16 bits of a token do, as they only
     exclude pairs that share none."""
     for batch in batches:
         sets = ngram_sets(_open(batch.column("text").to_pylist()), n, seed)
@@ -288,7 +289,7 @@ def _more_orders(batches: Iterator[pa.RecordBatch], n: int, seed: int, percent:
             keys = sets.keys(levels.value, order)
             own = [sets[i][first_places(keys[sets.bounds[i] : sets.bounds[i + 1]], percent)] for i in range(len(sets))]
             ends = np.append(0, np.cumsum([len(p) for p in own])).astype(np.int32)
-            flat = (np.concatenate(own) >> np.uint64(32)).astype(np.uint32).view(np.int32) if own else np.empty(0, np.int32)
+            flat = (np.concatenate(own) >> np.uint64(48)).astype(np.uint16).view(np.int16) if own else np.empty(0, np.int16)
             columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
         yield pa.RecordBatch.from_arrays(columns, ["node", "text", "second", "third"])
 
@@ -345,9 +346,18 @@ def similar_classes(
         .distinct()
     )
     shared = stored(shared, "jaccard-shared")
-    # A member whose token stands too far back for the group's shortest set.
-    least = shared.groupBy("token").agg(F.min("n").alias("least"), F.min("node").alias("low"), F.max("node").alias("high"))
-    alive = shared.join(least, "token").where("low <> high AND " + _bound("n", "place", "least", percent))
+    # Members that fit no other one of their group: in a group of two the other
+    # one is known, in a larger one its shortest and longest set are.
+    sizes = shared.groupBy("token").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.sum("n").alias("all_n"),
+        F.sum("place").alias("all_places"),
+    )
+    both = " AND ".join([_bound("n", "place", "(all_n - n)", percent), _bound("(all_n - n)", "(all_places - place)", "n", percent)])
+    some = " AND ".join([_bound("n", "place", "least", percent), f"100 * most >= {percent} * n"])
+    alive = shared.join(sizes, "token").where(f"CASE WHEN members = 2 THEN {both} WHEN members > 2 THEN {some} ELSE false END")
     alive = stored(alive.select("token", "node", "n", "place"), "jaccard-alive")
 
     packed = rows.mapInArrow(lambda batches: _texts_of_nodes(batches, n, seed), "node long, text binary")
@@ -355,7 +365,7 @@ def similar_classes(
     texts = stored(
         texts.mapInArrow(
             lambda batches: _more_orders(batches, n, seed, percent, levels),
-            "node long, text binary, second array<int>, third array<int>",
+            "node long, text binary, second array<smallint>, third array<smallint>",
         ),
         "jaccard-texts",
     )
