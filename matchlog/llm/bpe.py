@@ -37,8 +37,8 @@ def char_classes() -> np.ndarray:
     """Class of every code point, from the pattern's own character classes."""
     import regex
 
-    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
-    every = "".join(map(chr, points))
+    points = np.concatenate([np.arange(0xD800, dtype=np.uint32), np.arange(0xE000, 0x110000, dtype=np.uint32)])
+    every = points.tobytes().decode("utf-32-le")
     table = np.zeros(0x110000, np.uint8)
     for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
         for m in regex.finditer(pattern, every):

@@ -77,7 +77,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _unpack(column: pa.ChunkedArray, limit: int = STEP_CHARS // 2) -> Iterator[list[str]]:
+def _unpack(column: pa.ChunkedArray, limit: int = STEP_CHARS) -> Iterator[list[str]]:
     """The texts in runs of about ``limit`` bytes."""
     codec = pa.Codec("zstd")
     run, size = [], 0

@@ -23,7 +23,7 @@ from ..session import ensure_checkpoint_dir
 
 # Characters that one vectorised step handles at most (a longer text is a step
 # of its own).
-STEP_CHARS = 2_000_000
+STEP_CHARS = 1_000_000
 # Rows of one Arrow batch sent to a Python worker, so that a run of very long
 # texts stays within a worker's memory.
 BATCH_ROWS = 1000
