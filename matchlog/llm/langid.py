@@ -8,7 +8,9 @@ n-grams of each length: bounded tables, whatever the corpus.
 A known word scores its log frequency in every language.  An unseen word backs
 off: at each of its characters the longest known n-gram that starts there gives
 its log frequency, and the word scores the mean over its characters.  Languages
-in which the word or n-gram was never seen get a floor.  The text's score is
+in which the word or n-gram was never seen get a floor, the same for all of
+them: that of the language with the most training, so that no language gains by
+having seen little.  The text's score is
 the sum over its words, and the posterior of the best language is computed from
 the mean word score times ``min(words, WEIGHT)``, so that it stays a graded
 confidence on long texts.
@@ -125,8 +127,7 @@ class Model:
     def _table(rows: list, place: dict, totals: dict) -> tuple[np.ndarray, np.ndarray]:
         terms = np.array([r[0] for r in rows], np.uint64 if rows and not isinstance(rows[0][0], str) else object)
         keys, where = np.unique(terms, return_inverse=True)
-        floor = np.array([-np.log(totals.get(l, 0) + 2.0) for l in place])
-        scores = np.tile(floor, (len(keys), 1))
+        scores = np.full((len(keys), len(place)), -np.log(max(totals.values(), default=0) + 2.0))
         for k, (_, lang, n) in zip(where, rows):
             scores[k, place[lang]] = np.log((n + 1.0) / (totals[lang] + 2.0))
         return keys, scores

@@ -115,6 +115,18 @@ def test_backing_off(spark):
     assert scores[4] == scores[5] == scores[6] == 0 and all(0 < scores[k] <= 1 for k in (0, 1, 2, 3, 7))
 
 
+def test_a_language_with_few_rows_takes_no_texts_of_a_large_one(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    english = [r["text"] for r in docs.where("lang = 'en'").orderBy("doc_id").limit(6).collect()]
+    ids = [i for i in range(10**12, 10**12 + 100) if not held_out(i)]
+    few = [(i, t[:600], "wrong") for i, t in zip(ids, english)] + [(i, "zuk varo zuk pelim", "tiny") for i in ids[6:9]]
+    model = langid.train(docs.unionByName(spark.createDataFrame(few, "doc_id long, text string, lang string")))
+    rows = langid.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.99 * len(rows)
+    own = spark.createDataFrame([(1, "varo zuk pelim zuk varo")], "doc_id long, text string")
+    assert langid.predict(own, model).first()["lang_pred"] == "tiny"
+
+
 def test_back_off_equals_a_plain_version(spark):
     model = langid.train(toy(spark))
     import pyarrow as pa
