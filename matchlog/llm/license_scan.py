@@ -1,13 +1,16 @@
 """Licence scan by a positional index of rare words.
 
-The index holds, for each word of the licence templates, its postings: template
-and place.  A first pass counts in how many documents each of these words
-stands.  In the second pass a text looks up its licence words of the highest
-inverse document frequency, and each posting votes for a relative position: the
-text's place less the template's.  Postings of several rare words that agree on
-a position make a candidate; the template is laid over the text there, and it
-is found if enough of its words stand in place and one of its mandatory phrases
-stands in the text at that place.
+A first pass counts in how many documents each word of the licence templates
+stands.  The index holds postings, template and place, of each template's words
+of the highest inverse document frequency.  In the second pass each posting of
+a text's word votes for a relative position: the text's place less the
+template's.  Postings that agree on a position make a candidate; the template is
+laid over the text there, and it is found if enough of its words stand in place
+and one of its mandatory phrases stands in the text at that place.
+
+Of a template's n places as many may be wrong as COVERAGE allows; the index has
+AGREE more than that, the rarest.  So wherever a template stands, AGREE of its
+postings agree, however many other notices the text holds: no label is lost.
 
 Besides, three base phrases are found wherever their words stand consecutively.
 
@@ -63,9 +66,8 @@ TEMPLATES = {
     "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
     "proprietary": ("confidential and proprietary unauthorized copying of this file via any medium is strictly prohibited", ["unauthorized copying"]),
 }
-# Rare words of a text that are looked up, postings that must agree, and the
-# part of the template that must stand in place.
-RAREST = 16
+# Postings that must agree, and the part of the template that must stand in
+# place.
 AGREE = 2
 COVERAGE = 0.6
 
@@ -127,28 +129,24 @@ class Index:
         self.codes = [np.array([place[w] for w in ws]) for ws in self.words]
         self.phrases = [[[place[w] for w in p.split()] for p in templates[t][1]] for t in self.labels]
         self.base_codes = [([place[w] for w in p], label) for p, label in self.base]
-        self.postings: list[list[tuple[int, int]]] = [[] for _ in self.vocabulary]
-        for t, codes in enumerate(self.codes):
-            for k, c in enumerate(codes.tolist()):
-                self.postings[c].append((t, k))
-        self.idf = np.zeros(len(self.vocabulary))
+        self.weigh({}, 0)
 
     def weigh(self, counts: dict[str, int], documents: int) -> None:
-        self.idf = np.array([math.log((documents + 1) / (counts.get(w, 0) + 1)) for w in self.vocabulary])
+        idf = np.array([math.log((documents + 1) / (counts.get(w, 0) + 1)) for w in self.vocabulary])
+        self.postings: list[list[tuple[int, int]]] = [[] for _ in self.vocabulary]
+        for t, codes in enumerate(self.codes):
+            wrong = sum((len(codes) - k) / len(codes) >= COVERAGE for k in range(1, len(codes) + 1))
+            for k in np.argsort(-idf[codes], kind="stable")[: wrong + AGREE].tolist():
+                self.postings[codes[k]].append((t, k))
 
     def find(self, known: np.ndarray) -> dict[str, float]:
         """Labels of one text (its words' places in the vocabulary) and how much
         of each template stands there."""
         at = np.flatnonzero(known >= 0)
-        present = np.unique(known[at])
-        present = present[[bool(self.postings[c]) for c in present.tolist()]] if len(present) else present
-        rare = set(present[np.lexsort((present, -self.idf[present]))][:RAREST].tolist())
         votes: dict[tuple[int, int], set[int]] = {}
-        for p in at.tolist():
-            c = int(known[p])
-            if c in rare:
-                for t, k in self.postings[c]:
-                    votes.setdefault((t, p - k), set()).add(k)
+        for p, c in zip(at.tolist(), known[at].tolist()):
+            for t, k in self.postings[c]:
+                votes.setdefault((t, p - k), set()).add(k)
         best: dict[str, float] = {}
         for (t, shift), agreeing in votes.items():
             if len(agreeing) < AGREE:

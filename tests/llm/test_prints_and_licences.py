@@ -1,8 +1,10 @@
 """I-Match fingerprints and the licence scan against plain versions."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
+from itertools import combinations
 
 import pytest
 from llm_helpers import SF_SMALL, texts_of
@@ -134,6 +136,40 @@ def test_licence_templates_find_themselves(spark):
         assert r["score"] == 1.0
 
 
+def test_no_licence_is_lost_among_others(spark):
+    groups = [g for n in (3, 4, len(license_scan.TEMPLATES)) for g in combinations(sorted(license_scan.TEMPLATES), n)]
+    texts = [" some words between ".join(license_scan.TEMPLATES[t][0] for t in g) for g in groups]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in license_scan.scan(df).collect():
+        assert set(groups[r["doc_id"]]) <= set(r["labels"].split(","))
+
+
+def brute_labels(text):
+    """Every template laid over every place."""
+    words, labels = words_of(text), set()
+    for label, (notice, phrases) in license_scan.TEMPLATES.items():
+        own = notice.split()
+        for shift in range(-len(own), len(words)):
+            window = words[max(shift, 0) : max(shift + len(own), 0)]
+            share = sum(0 <= shift + k < len(words) and words[shift + k] == w for k, w in enumerate(own)) / len(own)
+            if share >= license_scan.COVERAGE and any(f" {p} " in f" {' '.join(window)} " for p in phrases):
+                labels.add(label)
+    return labels
+
+
+def test_damaged_licences_equal_brute_force(spark):
+    rng, texts = random.Random(9), []
+    for _ in range(200):
+        words = []
+        for t in rng.sample(sorted(license_scan.TEMPLATES), rng.randint(1, 6)):
+            notice = license_scan.TEMPLATES[t][0].split()
+            words += [w if rng.random() < 0.8 else rng.choice(["x", "the", "license", "of"]) for w in notice]
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in license_scan.scan(df).collect():
+        assert set(filter(None, r["labels"].split(","))) - set(license_scan.BASE.values()) == brute_labels(texts[r["doc_id"]])
+
+
 def test_licence_of_awkward_rows(spark, awkward, empty):
     rows = license_scan.scan(awkward).collect()
     expected = sorted((str(r["doc_id"]), *map(str, brute_base(r["text"]))) for r in awkward.collect())
