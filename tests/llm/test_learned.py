@@ -147,6 +147,24 @@ def test_back_off_equals_a_plain_version(spark):
         assert np.allclose(model.back_off(pa.array([word]))[0], total / (len(text) - 1))
 
 
+@pytest.mark.parametrize("words, grams", [(3, 5), (3, 10**6), (10**6, 5)])
+def test_counts_beyond_the_shared_model_are_used(spark, awkward, monkeypatch, words, grams):
+    columns = ["doc_id", "text", "lang"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*columns).where("doc_id % 50 = 0").cache()
+    docs = docs.unionByName(awkward.select(*columns)).unionByName(toy(spark))
+    whole = langid.train(docs)
+    monkeypatch.setattr(langid, "WORDS", words)
+    monkeypatch.setattr(langid, "GRAMS", grams)
+    part = langid.train(docs)
+    assert whole.whole and not part.whole and len(part.words) < len(whole.words) + (words > 3)
+    key = lambda r: (str(r["doc_id"]), r["lang_pred"], round(r["score"], 9))
+    a, b = (sorted(langid.predict(docs, m).collect(), key=key) for m in (whole, part))
+    assert [tuple(r)[:3] for r in a] == [tuple(r)[:3] for r in b]
+    assert np.allclose([r["score"] for r in a], [r["score"] for r in b])
+    a, b = (langid.keep_known(docs, m, 0.9) for m in (whole, part))
+    assert a.columns == b.columns == columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
 def test_language_of_awkward_rows(spark, awkward, empty):
     model = langid.train(awkward)  # no language to learn from
     rows = langid.predict(awkward, model).collect()
