@@ -5,7 +5,11 @@ lexicon keeps the terms within a band of inverse document frequency.  A text's
 distinct lexicon terms are sorted and hashed once in full, and once for each of
 several random subsets of the lexicon: those terms whose hash a prime divides.
 The primes grow, so that short and long texts alike have subsets of which they
-hold a few terms; those hashes outlive small edits.
+hold a few terms; those hashes outlive small edits.  A text without
+lexicon terms (short, or of a rare language or topic) is hashed by all its
+terms, in full and in the subsets.  A text of fewer than ``SHORT`` terms of
+either kind has dense subsets besides, which are never empty: where the prime divides no
+hash, the terms with the smallest remainder are taken.
 
 The likeness of two fingerprints is the share of equal hashes among the subsets
 of which at least one of the two texts holds a term.
@@ -15,9 +19,8 @@ in at least one of ``RAREST`` documents number at most ``RAREST`` times the mean
 number of distinct terms in a text, whatever the corpus.  So texts are shuffled
 once, to meet the next document, and terms never.  DataFrame operations only.
 
-Defined results: null text is empty; a text without lexicon terms is hashed by
-all its terms, one without terms by its characters, so equal texts always have
-equal fingerprints; the next document is that with the next larger id (after
+Defined results: null text is empty; a text without terms is hashed by its
+characters, so equal texts always have equal fingerprints; the next document is that with the next larger id (after
 the last, the first), of several rows with that id the one with the smallest
 hash; rows with a null id have the empty text as the next; every row gives one
 row; other columns are not read; an empty table gives an empty result.
@@ -34,6 +37,9 @@ from .common import stored
 COMMONEST, RAREST = 8, 300
 # Subset r holds one term in PRIMES[r] of the lexicon.
 PRIMES = (13, 17, 23, 31, 43, 61, 89, 127, 179, 251, 359, 509, 719, 1021, 1447, 2053)
+# Further subsets of texts with fewer than SHORT terms.
+DENSE = (5, 7, 11, 19)
+SHORT = 16
 
 
 def terms_of(text: Column) -> Column:
@@ -100,13 +106,17 @@ def _divisible(p: int):
 
 
 def signatures(terms: Column, instead: Column) -> Column:
-    """Hash of the sorted terms of the lexicon and of each subset, null where
-    there are none; ``terms`` is a sorted array of (term, h)."""
+    """Hash of the sorted terms and of each subset, null where there are none;
+    ``terms`` is a sorted array of (term, h)."""
     every = F.when(F.size(terms) > 0, F.xxhash64(F.transform(terms, lambda t: t["term"]))).otherwise(instead)
     hashes = []
     for p in PRIMES:
         own = F.transform(F.filter(terms, _divisible(p)), lambda t: t["term"])
         hashes.append(F.when(F.size(own) > 0, F.xxhash64(own)))
+    for p in DENSE:
+        least = F.array_min(F.transform(terms, lambda t: F.pmod(t["h"], F.lit(p))))
+        own = F.transform(F.filter(terms, lambda t: F.pmod(t["h"], F.lit(p)) == least), lambda t: t["term"])
+        hashes.append(F.when((F.size(terms) > 0) & (F.size(terms) < SHORT), F.xxhash64(own)))
     return F.array(every, *hashes)
 
 
@@ -127,10 +137,10 @@ def fingerprints(rows: DataFrame, lexicon: list[str], texts: list[str]) -> DataF
         rows = rows.withColumn(f"{c}_terms", terms_of(F.col(c)))
     known = ", ".join(f"'{t}'" for t in lexicon) or "NULL"
     for c in texts:
-        bare = F.array_sort(f"{c}_terms")
-        instead = F.when(F.size(bare) > 0, F.xxhash64(F.lit(1), bare)).otherwise(F.xxhash64(F.lit(2), F.col(c)))
-        kept = F.expr(f"filter({c}_terms, t -> t IN ({known}))")
-        rows = rows.withColumn(f"{c}_instead", instead).withColumn(f"{c}_terms", kept)
+        rows = rows.withColumn(f"{c}_kept", F.expr(f"filter({c}_terms, t -> t IN ({known}))"))
+    for c in texts:
+        chosen = F.when(F.size(f"{c}_kept") > 0, F.col(f"{c}_kept")).otherwise(F.col(f"{c}_terms"))
+        rows = rows.withColumn(f"{c}_terms", chosen).drop(f"{c}_kept").withColumn(f"{c}_instead", F.xxhash64(F.lit(2), F.col(c)))
     for c in texts:
         marked = F.transform(F.array_sort(f"{c}_terms"), lambda t: F.struct(t.alias("term"), F.xxhash64(t).alias("h")))
         rows = rows.withColumn(f"{c}_terms", marked)
@@ -147,7 +157,7 @@ def fingerprint_pairs(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
         "fingerprints",
     )
     one = made.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("text_print").alias("next_print"))
-    empty = F.array(F.xxhash64(F.lit(2), F.lit("")), *[F.lit(None).cast("long")] * len(PRIMES))
+    empty = F.array(F.xxhash64(F.lit(2), F.lit("")), *[F.lit(None).cast("long")] * (len(PRIMES) + len(DENSE)))
     return made.join(one, "next_id", "left").select(
         "doc_id",
         "n_chars",

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import pytest
 from llm_helpers import SF_SMALL, texts_of
+from pyspark.sql import functions as F
 
 from matchlog.llm import imatch, license_scan
 from matchlog.llm.queries import QUERIES
@@ -63,6 +64,18 @@ def test_hashes_follow_the_sorted_terms(spark):
     assert len({tuple(r["text_print"]) for r in none}) == 7
 
 
+def test_texts_with_few_lexicon_terms_keep_hashes_through_an_edit(spark):
+    rare = [" ".join(f"w{i}x{k}" for k in range(40)) for i in range(50)]
+    short = [f"known{i} known{i + 1} known{i + 2} s{i}" for i in range(50)]
+    few = [f"r{i}a r{i}b r{i}c r{i}d" for i in range(50)]
+    for texts, change in ((rare, lambda t: t.rsplit(" ", 8)[0] + " zz"), (few, lambda t: t.rsplit(" ", 1)[0] + " zz"), (short, lambda t: t.split(" ", 1)[1])):
+        df = spark.createDataFrame([(t, change(t)) for t in texts], "text string, edited string")
+        both = imatch.fingerprints(df, [f"known{i}" for i in range(60)], ["text", "edited"])
+        rows = both.select(imatch.likeness(F.col("text_print"), F.col("edited_print")).alias("like"), "text_print", "edited_print").collect()
+        assert all(any(r["text_print"][1:]) and any(r["edited_print"][1:]) for r in rows)
+        assert sum(r["like"] > 0 for r in rows) >= 0.8 * len(rows)
+
+
 @pytest.mark.parametrize("ids", [[7], [1, 2, 3], [-70000, -5, 0, 65535, 65536, 1 << 40, (1 << 63) - 1, -(1 << 63)], list(range(0, 400_000, 37_000))])
 def test_successors(spark, ids):
     got = {r["id"]: r["next_id"] for r in imatch.successors(spark.createDataFrame([(i,) for i in ids], "id long")).collect()}
