@@ -18,7 +18,8 @@ DataFrame operations only.
 Defined results: null text is empty; of equal texts the row with the most code
 points stays, then the smallest id; a null id sorts after all others; rows that
 repeat an id with an equal text share its decision; other columns are not read;
-an empty table gives an empty result.
+an empty table gives an empty result; a row whose digest the state lacks is an
+error.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
+# A file is read whatever its time stamp.
+MAX_FILE_AGE = "36500d"
 LAST_ID = (1 << 63) - 1
 
 
@@ -101,7 +104,7 @@ def update_state(
     """Stream the files under ``path`` that the state has not seen into it;
     the whole state as ``(digest, keep_id, locator, group_size)``."""
     limit = ("maxFilesPerTrigger", batch_files) if batch_files else ("maxBytesPerTrigger", batch_bytes)
-    files = spark.readStream.schema(schema).option(*limit).parquet(literal_glob(path))
+    files = spark.readStream.schema(schema).option(*limit).option("maxFileAge", MAX_FILE_AGE).parquet(literal_glob(path))
     first = F.struct("n_chars", (-F.coalesce("doc_id", F.lit(LAST_ID))).alias("before"), "locator")
     state = (
         rows_of(files, digest, F.col("_metadata.file_path").alias("locator"))
@@ -146,7 +149,9 @@ def deduplicate(
 
 def decide(docs: DataFrame, state: DataFrame, *, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     normal = normalised(F.col("text"))
-    rows = rows_of(docs, digest, sha256(normal).alias("text_sha256")).join(state, "digest")
+    missing = F.raise_error(F.lit("a row's digest is missing in the state")).cast("long")
+    rows = rows_of(docs, digest, sha256(normal).alias("text_sha256")).join(state, "digest", "left")
+    rows = rows.withColumn("group_size", F.coalesce("group_size", missing))
     rows = stored(rows, "dedup-rows")
 
     # Full texts of the hits, each different text of a digest once.

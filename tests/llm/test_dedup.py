@@ -1,7 +1,9 @@
 """Exact and line deduplication against plain versions and the DuckDB SQL."""
 
 import hashlib
+import os
 import re
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -114,3 +116,23 @@ def test_plans_are_free_of_python(spark, awkward, tmp_path, capsys):
         assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
 
 
+
+
+def test_old_file_that_comes_later_is_counted(spark, tmp_path):
+    path, state = str(tmp_path / "documents.parquet"), str(tmp_path / "state")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    frame([(2, "a text"), (3, "another")]).write.parquet(path)
+    assert exact_dedup.deduplicate(spark, path, state_dir=state).count() == 2
+    before = set(Path(path).glob("part-*"))
+    frame([(1, "a text"), (4, "a third")]).write.mode("append").parquet(path)
+    for f in set(Path(path).glob("part-*")) - before:
+        os.utime(f, (10**9, 10**9))
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.deduplicate(spark, path, state_dir=state).collect()}
+    assert got == {1: (1, 2), 2: (1, 2), 3: (3, 1), 4: (4, 1)}
+
+
+def test_row_that_the_state_lacks_is_an_error(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
+    none = spark.createDataFrame([], "digest string, keep_id long, locator string, group_size long")
+    with pytest.raises(Exception, match="missing in the state"):
+        exact_dedup.decide(docs, none).collect()
