@@ -45,7 +45,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of similar ones."""
+    """The document with the smallest id of each group of similar ones.  Groups
+    are told by id: all rows that repeat a kept id stay, equal rows and rows with
+    another text alike, and a null id that is kept keeps all rows without id."""
     classes = jaccard_join.similar_classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"))
     return docs.join(classes, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
 

@@ -53,3 +53,12 @@ def test_awkward_documents_pass(spark, awkward, empty, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, str(tmp_path)), "test-stage")
         assert (docs.count() > 0) == (n > 0)
+
+
+def test_near_copies_with_repeated_and_null_ids(spark):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(1, one), (1, one), (2, one), (3, two), (4, two), (4, three), (None, "few words"), (None, "w x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    expected = [(1, one), (1, one), (3, two), (4, two), (4, three), (None, "few words"), (None, "w x")]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, expected))
