@@ -1,6 +1,6 @@
 """Line framing: time, message, blank and non-chat lines."""
 
-from conftest import lines_df
+from helpers import lines_df
 
 from matchlog.operators.framing import frame
 

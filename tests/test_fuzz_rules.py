@@ -12,7 +12,7 @@ import re
 
 import pytest
 
-from conftest import chat_line, lines_df
+from helpers import chat_line, lines_df
 from matchlog.functions.enrich import XP_END_LABEL, XP_MID_LABEL
 from matchlog.functions.rules import FALLBACK_CATEGORY, RULE, RULES
 from matchlog.operators.events import build_events

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import chat_line, lines_df
+from helpers import chat_line, lines_df
 from matchlog.operators import marts
 from matchlog.operators.events import build_events
 

@@ -3,7 +3,7 @@ exchange that gathers un-aggregated rows into a single partition."""
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from matchlog.plans.catalog import QUERIES
 

@@ -3,7 +3,7 @@ and the driver entry point."""
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from matchlog.plans.catalog import QUERIES
 from matchlog.plans.oracle import oracle_sql
 from oracle_check import compare, duck

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import chat_line, events_of
+from helpers import chat_line, events_of
 
 
 GOLDEN = [
@@ -77,7 +77,7 @@ def test_lobby_overflow_is_null_not_error(spark):
 
 
 def test_no_python_udf_in_plan(spark):
-    from conftest import lines_df, chat_line
+    from helpers import lines_df, chat_line
     from matchlog.operators.events import build_events
 
     plan = build_events(lines_df(spark, [chat_line("ana morreu.")]), "p7")._jdf.queryExecution().executedPlan().toString()
@@ -88,7 +88,7 @@ def test_rules_do_not_depend_on_the_parser_setting(spark):
     """Raw and escaped string literals give the same classes and captures."""
     from matchlog.plans.catalog import QUERIES
 
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
 
     names = ("classify_events", "enrich_actor", "enrich_detail", "flag_own")
     key = "spark.sql.parser.escapedStringLiterals"

@@ -96,7 +96,7 @@ def test_hot_log_is_split_into_bounded_chunks(spark):
     most ``chunk_rows`` rows and equals the global numbering."""
     from pyspark.sql import functions as F
 
-    from conftest import SF_ORACLE
+    from helpers import SF_ORACLE
     from matchlog.plans.catalog import _framed
 
     hot = _framed(spark, SF_ORACLE).withColumn("log_id", F.lit(42).cast("long"))
@@ -112,7 +112,7 @@ def test_hot_log_is_split_into_bounded_chunks(spark):
 def test_category_subset_keeps_match_ids(spark, cats):
     from pyspark.sql import functions as F
 
-    from conftest import SF_ORACLE
+    from helpers import SF_ORACLE
     from matchlog.plans.catalog import events
 
     full = events(spark, SF_ORACLE, chunk_rows=300).where(F.col("category").isin(*cats))

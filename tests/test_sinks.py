@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import chat_line, lines_df
+from helpers import chat_line, lines_df
 from matchlog.operators.events import build_events
 from matchlog.sources.sinks import keep, write_csv, write_parquet
 
