@@ -7,7 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, exact_dedup, imatch, jaccard_join, langid, license_scan, line_dedup, packing, token_counts, toxicity
+from . import (
+    bpe_codec,
+    collocations,
+    exact_dedup,
+    filter_audit,
+    html_extract,
+    imatch,
+    jaccard_join,
+    langid,
+    license_scan,
+    line_dedup,
+    packing,
+    token_counts,
+    toxicity,
+)
 from .common import read, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +76,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(read(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return filter_audit.audit(filter_audit.failure_counts(docs, labels))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -75,10 +102,15 @@ QUERIES: dict[str, Query] = {
         op8_token_counts,
         op9_license_scan,
         op10_line_dedup,
+        op11_filter_audit,
+        op12_collocations,
+        op13_html_extract,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
     "op10_line_dedup": line_dedup.ORACLE_SQL,
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
+    "op12_collocations": collocations.ORACLE_SQL,
 }
