@@ -147,10 +147,10 @@ class PageEvents(HTMLParser):
         self._count = 0
 
     # A comment that never ends takes the rest of the page.
-    def parse_html_declaration(self, i: int) -> int:
-        if self.rawdata.startswith("<!--", i) and self.rawdata.find("-->", i + 4) < 0:
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        if self.rawdata.find("-->", i + 4) < 0:
             return len(self.rawdata)
-        return super().parse_html_declaration(i)
+        return super().parse_comment(i, report)
 
     def updatepos(self, i: int, j: int) -> int:
         """Line numbers of the source are not needed."""
