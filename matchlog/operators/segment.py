@@ -13,21 +13,21 @@ sum in two phases, a textbook parallel scan:
    chunk totals per group (exclusive) over that table, and add the offset back
    with an equi-join on ``(group, chunk)``.
 
-With groups, a first small job counts each group's rows (one row per group and
-task is shuffled).  A group of at most ``chunk_rows`` rows is one chunk and
-needs no offset; only larger groups are cut, each by a width that follows its
-own density.  So the chunk table holds at most rows / ``chunk_rows`` rows and
-one more per large group, however many small groups there are, and without
-large groups there is no second read and no join at all.
-
-The table of large groups has at most rows / ``chunk_rows`` rows.  It is
-written to the shared scratch folder; up to ``BROADCAST_GROUPS`` rows it is
-broadcast, beyond that the planner joins it as it sees fit.
+With groups, a group of at most ``chunk_rows`` rows is one chunk and needs no
+offset; only larger groups are cut, each by a width that follows its own
+density.  So the chunk table holds at most rows / ``chunk_rows`` rows and one
+more per large group, however many small groups there are.  Sizes are counted by
+a narrow scan (group and order column) inside the query; nothing runs when the
+DataFrame is built.  Without large groups adaptive execution finds their table
+empty and drops the second read and both joins.
+
+The table of large groups is broadcast.  It holds the ``BROADCAST_GROUPS``
+largest ones, whatever the corpus; a group beyond them is one chunk, which holds
+at most rows / ``BROADCAST_GROUPS`` rows.  The choice changes no result.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,14 +35,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import is_match_start
-from ..session import ensure_checkpoint_dir
 
 # 256 Ki rows per window partition: small enough to sort and buffer in one
 # task, large enough that the chunk table stays tiny (1e12 rows -> 4e6 chunks).
 DEFAULT_CHUNK_ROWS = 1 << 18
 
 
-# Rows of the table of large groups that may be broadcast (about 6 MB).
+# Rows of the table of large groups, which is broadcast (about 6 MB).
 BROADCAST_GROUPS = 100_000
 
 
@@ -116,29 +115,27 @@ def running_totals(
 
 def large_groups(source: DataFrame, keys: Sequence[str], order_by: str, chunk_rows: int) -> DataFrame:
     """Groups of more than ``chunk_rows`` rows, with their first order key and
-    the width of a chunk of about ``chunk_rows`` rows."""
+    the width of a chunk of about ``chunk_rows`` rows; the largest
+    ``BROADCAST_GROUPS`` of them."""
     spans = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(order_by).alias("_from"), F.max(order_by).alias("_to"))
     width = F.ceil((F.col("_to") - F.col("_from") + 1) * (F.lit(float(chunk_rows)) / F.col("_n")))
-    return spans.where(F.col("_n") > chunk_rows).select(*keys, "_from", F.greatest(width.cast("long"), F.lit(1)).alias("_width"))
+    large = spans.where(F.col("_n") > chunk_rows).orderBy(F.desc("_n"), *keys).limit(BROADCAST_GROUPS)
+    return large.select(*keys, "_from", F.greatest(width.cast("long"), F.lit(1)).alias("_width"))
 
 
-def _by_group(rows: DataFrame, source: DataFrame, keys: list[str], order_by: str, n: int, chunk_rows: int, levels: int) -> DataFrame:
-    spark = rows.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/large-groups-{uuid.uuid4().hex}"
-    large_groups(source, keys, order_by, chunk_rows).write.parquet(path)
-    large = spark.read.parquet(path)
-    found = large.count()
-    if not found:
-        inside = Window.partitionBy(*keys).orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return rows.select("*", *[F.sum(f"_v{j}").over(inside).cast("long").alias(f"_s{j}") for j in range(n)])
-    if found <= BROADCAST_GROUPS:
-        large = F.broadcast(large)
+def cut_groups(df: DataFrame, large: DataFrame, keys: Sequence[str], order_by: str, how: str) -> DataFrame:
+    """``df`` with the ``_chunk`` of each row: of all rows (``left``) or of the
+    large groups' rows (``inner``)."""
     at = F.floor((F.col(order_by) - F.col("_from")) / F.col("_width"))
     # A null order key sorts first, so it belongs to the first chunk.
     at = F.greatest(F.coalesce(at.cast("long"), F.lit(0)), F.lit(0)).alias("_chunk")
-    cut = lambda df, how: df.join(large, keys, how).select(*df.columns, at)
-    totals = cut(source, "inner")
-    return _prefix(cut(rows, "left"), keys, order_by, n, chunk_rows, levels, totals)
+    return df.join(F.broadcast(large), list(keys), how).select(*df.columns, at)
+
+
+def _by_group(rows: DataFrame, source: DataFrame, keys: list[str], order_by: str, n: int, chunk_rows: int, levels: int) -> DataFrame:
+    large = large_groups(source, keys, order_by, chunk_rows)
+    totals = cut_groups(source, large, keys, order_by, "inner")
+    return _prefix(cut_groups(rows, large, keys, order_by, "left"), keys, order_by, n, chunk_rows, levels, totals)
 
 
 def _coarser(chunk: Column, dtype: T.DataType, chunk_rows: int) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import enrich as en
 from ..functions.charset import decode_cp1252, encode_single_byte
 from ..functions.rules import is_match_start
-from ..operators import marts
+from ..operators import marts, timeline
 from ..operators.contract import original_contract
 from ..operators.events import build_events, classify_events, enrich
 from ..operators.framing import filter_chat, frame
@@ -305,3 +305,22 @@ def resources_by_match(spark, sf_dir):
 @query
 def kd_by_player(spark, sf_dir):
     return marts.kd_by_player(events(spark, sf_dir, with_match=False))
+
+
+# --- order and time inside a log --------------------------------------------------
+
+@query
+def last_losses(spark, sf_dir):
+    """As-of lookup: the last bed loss, elimination and lobby row before each event."""
+    return timeline.last_losses(events(spark, sf_dir, with_match=False))
+
+
+@query
+def event_clock(spark, sf_dir):
+    """Day-rollover clock and pauses between neighbouring events."""
+    return timeline.event_clock(events(spark, sf_dir, with_match=False))
+
+
+@query
+def match_durations(spark, sf_dir):
+    return timeline.match_durations(timeline.event_clock(events(spark, sf_dir, with_match=False)))

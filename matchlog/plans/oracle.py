@@ -117,6 +117,36 @@ ev AS (
 )"""
 
 
+# Time of day from the structured timestamp; a day ends where it runs back.
+_CLOCK = """
+, t AS (
+  SELECT log_id, line_no, match_id, category, hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS secs FROM ev
+),
+c AS (
+  SELECT *, lag(secs) OVER w AS was, lead(secs) OVER w AS comes,
+         lag(secs) OVER (PARTITION BY log_id, match_id ORDER BY line_no) AS was_in_match
+  FROM t WINDOW w AS (PARTITION BY log_id ORDER BY line_no)
+),
+k AS (
+  SELECT *, CAST(sum(CASE WHEN secs < was THEN 1 ELSE 0 END) OVER (PARTITION BY log_id ORDER BY line_no
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS day
+  FROM c
+),
+clock AS (
+  SELECT log_id, line_no, match_id, category, day, CAST(day * 86400 + secs AS BIGINT) AS clock,
+         CAST((secs - was + 86400) % 86400 AS BIGINT) AS pause_before, CAST((comes - secs + 86400) % 86400 AS BIGINT) AS pause_after,
+         CAST((secs - was_in_match + 86400) % 86400 AS BIGINT) AS pause_in_match
+  FROM k
+)"""
+
+
+def _last_of(alias: str, category: str) -> str:
+    return (
+        f"ASOF LEFT JOIN (SELECT * FROM ev WHERE category = '{category}') {alias} "
+        f"ON e.log_id = {alias}.log_id AND e.match_id = {alias}.match_id AND e.line_no > {alias}.line_no"
+    )
+
+
 def _on_events(select: str) -> str:
     return "WITH " + _LINES.strip() + "\n" + select.strip()
 
@@ -294,6 +324,16 @@ def oracle_sql() -> dict[str, str]:
             FROM c"""
         ),
     }
+    q["last_losses"] = _on_events(
+        "SELECT e.log_id, e.line_no, e.match_id, e.category, b.line_no AS bed_line, b.target AS bed_team, "
+        "t.line_no AS team_line, t.detail_name AS team_out, l.line_no AS lobby_line, l.actor AS lobby_player FROM ev e "
+        + " ".join([_last_of("b", "bed_destroyed"), _last_of("t", "team_eliminated"), _last_of("l", "lobby")])
+    )
+    q["event_clock"] = _on_events(_CLOCK + " SELECT * FROM clock")
+    q["match_durations"] = _on_events(
+        _CLOCK + " SELECT log_id, match_id, COUNT(*) AS events, min(day) AS first_day, max(clock) - min(clock) AS seconds, "
+        "max(pause_in_match) AS longest_pause FROM clock GROUP BY log_id, match_id"
+    )
     global_ids = (
         "SELECT event_id, CAST(SUM(is_start) OVER (ORDER BY line_no "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS match_id FROM ev"

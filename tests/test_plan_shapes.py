@@ -66,7 +66,17 @@ def _plan(df):
 
 
 def test_small_logs_need_neither_a_second_scan_nor_a_join(spark):
-    plan = _plan(QUERIES["build_event_table"](spark, SF_SMALL)).split("== Initial Plan ==")[-1]
+    """Building the table runs nothing; run, it reads the log once."""
+    sc = spark.sparkContext
+    sc.setJobGroup("build-only", "no job may run here")
+    try:
+        df = QUERIES["build_event_table"](spark, SF_SMALL)
+        assert not list(sc.statusTracker().getJobIdsForGroup("build-only"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    df.collect()
+    plan = _plan(df).split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan
     assert plan.count("FileScan") == 1 and "Join" not in plan
 
 

@@ -1,0 +1,157 @@
+"""Chunked scans against a plain pass over each log, at any chunk size: nulls,
+ties, one hot log, empty input; and what their plans gather."""
+
+import random
+
+import pytest
+from helpers import SF_ORACLE, chat_line, lines_df
+from pyspark.sql import functions as F
+
+from matchlog.operators.events import build_events
+from matchlog.operators.scan import Last, Next, Steps, ordered_scan
+from matchlog.operators.timeline import clock_seconds, event_clock, last_losses, match_durations
+
+SCHEMA = "log string, pos long, tie int, mark int, x int, key int"
+
+
+def make_rows(seed, n=300, hot=0.5):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        log = "hot" if rnd.random() < hot else rnd.choice(["a", "b", None, ""])
+        pos = rnd.choice([None, *range(-20, 120)])
+        rows.append((log, pos, i, int(rnd.random() < 0.15), rnd.choice([None, *range(5)]), rnd.choice([None, *range(8)])))
+    return rows
+
+
+def brute(rows):
+    out = {}
+    for log in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == log), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        count, steps, key = 0, 0, None
+        marks, kind, any_row = [], None, None
+        for i, r in enumerate(own):
+            count += r[3]
+            if r[5] is not None and key is not None and r[5] < key:
+                steps += 1
+            key = r[5] if r[5] is not None else key
+            last = next(((p[4], p[2]) for p in reversed(own[:i]) if p[4] != 3 and p[4] is not None), None)
+            inner = next((p for p in reversed(list(zip(own[:i], marks))) if p[0][4] == 2), None)
+            within = inner[0][2] if inner and inner[1] == count else None
+            nullable = next((p for p in reversed(own[:i]) if p[2] % 3 == 0), None)
+            later = next((p[2] for p in own[i + 1 :] if p[4] == 1), None)
+            out[r[2]] = (count, last, within, nullable[4] if nullable else None, later, steps)
+            marks.append(count)
+    return out
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 2, 5, 17, 64, 1 << 18])
+def test_scans_against_a_plain_pass(spark, chunk_rows):
+    rows = make_rows(chunk_rows)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = ordered_scan(
+        df,
+        by=["log"],
+        order_by="pos",
+        then=["tie"],
+        sums={"count": F.col("mark")},
+        lasts={
+            "last": Last(F.col("x").isNotNull() & (F.col("x") != 3), F.struct("x", "tie")),
+            "within": Last(F.col("x") == 2, F.col("tie"), "count"),
+            "nullable": Last(F.col("tie") % 3 == 0, F.col("x")),
+        },
+        nexts={"later": Next(F.col("x") == 1, F.col("tie"))},
+        steps={"steps": Steps(F.col("key"), lambda before, now: now < before)},
+        chunk_rows=chunk_rows,
+    )
+    assert found.columns == df.columns + ["count", "last", "within", "nullable", "later", "steps"]
+    got = {r.tie: (r["count"], tuple(r["last"]) if r["last"] else None, r.within, r.nullable, r.later, r.steps) for r in found.collect()}
+    assert got == brute(rows)
+
+
+def test_scan_of_nothing_and_bad_options(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert ordered_scan(df, by=["log"], order_by="pos", sums={"n": F.lit(1)}, chunk_rows=2).count() == 0
+    with pytest.raises(ValueError):
+        ordered_scan(df, by=["log"], order_by="pos", chunk_rows=0)
+    with pytest.raises(ValueError):
+        ordered_scan(df, by=["log"], order_by="pos", lasts={"a": Last(F.lit(True), F.col("x"), "none")})
+
+
+def test_hot_log_is_cut_and_no_task_orders_its_rows(spark):
+    """One log with all rows: windows over rows run by chunk; only chunk rows,
+    aggregated, are ordered by log."""
+    n = 5000
+    df = spark.range(n).select(F.expr("cast(id >= 0 as int) AS log"), F.col("id").alias("pos"), (F.col("id") % 7).alias("x"))
+    found = ordered_scan(df, by=["log"], order_by="pos", lasts={"seven": Last(F.col("x") == 0, F.col("pos"))}, chunk_rows=100)
+    rows = {r.pos: r.seven for r in found.collect()}
+    assert rows == {i: ((i - 1) // 7 * 7 if i else None) for i in range(n)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange SinglePartition" not in plan and "Python" not in plan
+    sizes = found.sparkSession.createDataFrame([(p,) for p in rows], "pos long").selectExpr("pos div 100 as c").groupBy("c").count()
+    assert sizes.agg(F.max("count")).first()[0] == 100
+
+
+def test_no_large_log_means_one_scan_and_no_join(spark):
+    rows = make_rows(3)
+    found = ordered_scan(spark.createDataFrame(rows, SCHEMA), by=["log"], order_by="pos", then=["tie"], sums={"count": F.col("mark")})
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Join" not in plan and plan.count("Scan ExistingRDD") == 1
+
+
+def events(spark, timed):
+    lines = [f"[CHAT] {m}" if t is None else chat_line(m, t) for t, m in timed]
+    return build_events(lines_df(spark, lines), "p7", with_match=False)
+
+
+TIMED = [
+    ("23:59:50", "oi"),
+    ("23:59:55", "ana entrou na sala (1/8)."),
+    ("00:00:05", "O jogo iniciou!"),
+    (None, "oi"),
+    ("00:00:05", "CAMA DESTRUÍDA » A Cama do Rosa foi destruída por ana."),
+    ("10:00:00", "TIME ELIMINADO » O Time Rosa foi eliminado."),
+    ("09:00:00", "oi"),
+    ("09:00:01", "O jogo iniciou!"),
+    ("09:00:09", "oi"),
+]
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 2, 4, 100])
+def test_clock_runs_on_over_midnight(spark, chunk_rows):
+    rows = {r.line_no: r for r in event_clock(events(spark, TIMED), chunk_rows=chunk_rows).collect()}
+    assert [rows[i].day for i in range(9)] == [0, 0, 1, None, 1, 1, 2, 2, 2]
+    assert rows[2].clock == 86400 + 5 and rows[3].clock is None and rows[8].clock == 2 * 86400 + 9 * 3600 + 9
+    assert [rows[i].pause_before for i in range(9)] == [None, 5, 10, None, 0, 35995, 82800, 1, 8]
+    assert [rows[i].pause_after for i in range(9)] == [5, 10, 0, None, 35995, 82800, 1, 8, None]
+    assert [rows[i].pause_in_match for i in range(9)] == [None, 5, None, None, 0, 35995, 82800, None, 8]
+    spans = {r.match_id: r for r in match_durations(event_clock(events(spark, TIMED), chunk_rows=chunk_rows)).collect()}
+    assert {m: (r.events, r.first_day, r.seconds, r.longest_pause) for m, r in spans.items()} == {
+        0: (2, 0, 5, 5),
+        1: (5, 1, 35995 + 82800, 82800),
+        2: (2, 2, 8, 8),
+    }
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 3, 100])
+def test_losses_are_forgotten_when_a_match_starts(spark, chunk_rows):
+    rows = {r.line_no: r for r in last_losses(events(spark, TIMED), chunk_rows=chunk_rows).collect()}
+    assert [rows[i].lobby_line for i in range(9)] == [None] * 9  # the lobby row is followed by a start
+    assert [rows[i].bed_line for i in range(9)] == [None, None, None, None, None, 4, 4, None, None]
+    assert [rows[i].team_line for i in range(9)] == [None] * 6 + [5, None, None]
+    assert rows[6].bed_team == "Time Rosa" and rows[6].team_out == "Rosa"
+
+
+def test_time_of_day_as_seconds(spark):
+    df = spark.createDataFrame([("01:02:03",), ("",), (None,), ("aa:bb:cc",)], "t string")
+    assert [r[0] for r in df.select(clock_seconds(F.col("t"))).collect()] == [3723, None, None, None]
+
+
+def test_small_chunks_give_the_registered_results(spark):
+    from matchlog.plans.catalog import QUERIES, events as catalog_events
+
+    ev = catalog_events(spark, SF_ORACLE, with_match=False)
+    for name, operator in (("last_losses", last_losses), ("event_clock", event_clock)):
+        small, whole = operator(ev, chunk_rows=5), QUERIES[name](spark, SF_ORACLE)
+        assert small.exceptAll(whole).isEmpty() and whole.exceptAll(small).isEmpty()
