@@ -21,9 +21,13 @@ from ..operators.contract import original_contract
 from ..operators.events import build_events, classify_events, enrich
 from ..operators.framing import filter_chat, frame
 from ..operators.lines import split_lines
+from ..operators.scan import ordered_scan
 from ..operators.segment import assign_match_ids
+from ..operators.sessions import sessions
+from ..session import scratch_path
 from ..sources.fixture import PROTAGONIST, render_log
 from ..sources.tables import read_table
+from ..streaming.growing import GrowingLogs, batches_done, start_growing_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +35,9 @@ QUERIES: dict[str, Query] = {}
 # Chunk size of the explicitly chunked segmentation query: small on purpose so
 # that even the test scale runs many chunks per log.
 SMALL_CHUNK_ROWS = 997
+# Files in which the growing logs' lines arrive, read in four micro-batches.
+ARRIVAL_FILES = 16
+SESSION_GAP_SECONDS = 30 * 60
 
 
 def query(fn: Query | None = None, *, name: str | None = None):
@@ -324,3 +331,26 @@ def event_clock(spark, sf_dir):
 @query
 def match_durations(spark, sf_dir):
     return timeline.match_durations(timeline.event_clock(events(spark, sf_dir, with_match=False)))
+
+
+@query
+def player_sessions(spark, sf_dir):
+    """Sessions of each player in the events, over half an hour apart."""
+    return sessions(table(spark, sf_dir, "events"), SESSION_GAP_SECONDS)
+
+
+@query
+def growing_log_match_ids(spark, sf_dir):
+    """W4 on logs that are still written: the lines arrive shuffled, in files
+    that a stream reads over several micro-batches."""
+    numbered = ordered_scan(log_lines(spark, sf_dir), by=["log_id"], order_by="line_no", sums={"place": F.lit(1)})
+    folder = scratch_path(spark, "growing")
+    arriving = numbered.select("log_id", F.col("line_no").alias("event_id"), (F.col("place") - 1).alias("line_no"), "value")
+    arriving.repartition(ARRIVAL_FILES, F.xxhash64("event_id")).write.parquet(f"{folder}/arriving")
+    lines = spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", ARRIVAL_FILES // 4).parquet(f"{folder}/arriving")
+    logs = GrowingLogs(spark, f"{folder}/logs", log_type=arriving.schema["log_id"].dataType.simpleString())
+    stream = start_growing_stream(lines, logs, f"{folder}/checkpoint", available_now=True)
+    stream.awaitTermination()
+    found = logs.numbered(batches_done(stream))
+    events_of = spark.read.schema(arriving.schema).parquet(f"{folder}/arriving").select("log_id", "line_no", "event_id")
+    return frame(found.join(events_of, ["log_id", "line_no"]), keep=("event_id", "log_id", "match_id")).select("event_id", "log_id", "match_id")

@@ -334,6 +334,16 @@ def oracle_sql() -> dict[str, str]:
         _CLOCK + " SELECT log_id, match_id, COUNT(*) AS events, min(day) AS first_day, max(clock) - min(clock) AS seconds, "
         "max(pause_in_match) AS longest_pause FROM clock GROUP BY log_id, match_id"
     )
+    q["growing_log_match_ids"] = q["segment_matches_per_log"]
+    q["player_sessions"] = """
+        WITH g AS (
+          SELECT user_id, event_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS apart
+          FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+        ),
+        s AS (SELECT *, CAST(sum(apart) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session FROM g)
+        SELECT user_id AS player, session, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n,
+               epoch_us(max(ts) - min(ts)) / 1000000 AS seconds
+        FROM s GROUP BY user_id, session"""
     global_ids = (
         "SELECT event_id, CAST(SUM(is_start) OVER (ORDER BY line_no "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS match_id FROM ev"

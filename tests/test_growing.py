@@ -1,0 +1,86 @@
+"""Match ids over micro-batches equal those of the whole log, whatever the order
+in which lines arrive; replayed batches, repeats, gaps and nulls."""
+
+import random
+
+import pytest
+from helpers import chat_line
+from pyspark.sql import functions as F
+
+from matchlog.streaming.growing import GrowingLogs, batches_done, start_growing_stream
+
+SCHEMA = "log_id string, line_no long, value string"
+START = "O jogo iniciou!"
+
+
+def make_logs(seed, logs=("hot", "b", None), n=120):
+    rnd = random.Random(seed)
+    sizes = {"hot": n}
+    return [(log, i, chat_line(START if rnd.random() < 0.15 else "oi")) for log in logs for i in range(sizes.get(log, 15))]
+
+
+def brute(lines):
+    out, counts = {}, {}
+    for log, i, value in sorted(lines, key=lambda r: (str(r[0]), r[1])):
+        counts[log] = counts.get(log, 0) + value.endswith(START)
+        out[(log, i)] = counts[log]
+    return out
+
+
+def ids(df):
+    rows = df.collect()
+    got = {(r.log_id, r.line_no): r.match_id for r in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+@pytest.mark.parametrize("chunk_rows,snapshot_every", [(1 << 18, 20), (7, 2)])
+def test_lines_out_of_order_over_batches(spark, tmp_path, chunk_rows, snapshot_every):
+    lines = make_logs(4)
+    random.Random(1).shuffle(lines)
+    logs = GrowingLogs(spark, str(tmp_path), chunk_rows=chunk_rows, snapshot_every=snapshot_every)
+    cut = [lines[i::4] for i in range(4)]
+    cut[2] = cut[2] + cut[0][:20]  # some lines arrive twice
+    expected = brute(lines)
+    for number, part in enumerate(cut):
+        logs.add(spark.createDataFrame(part, SCHEMA), number)
+        if number == 1:
+            logs.add(spark.createDataFrame(part, SCHEMA), number)  # the batch is run again
+        got = ids(logs.numbered(number + 1))
+        seen = {(log, i) for log, i, _ in sum(cut[: number + 1], [])}
+        assert got == {k: v for k, v in expected.items() if all((k[0], i) in seen for i in range(k[1] + 1))}
+    assert got == expected
+    assert logs.waiting(4).isEmpty() and logs.flush(4).isEmpty()
+    state = {r.log_id: (r.next_line, r.matches) for r in logs.state(4).collect()}
+    assert state["hot"] == (120, expected[("hot", 119)]) and state[None][0] == 15
+
+
+def test_gaps_nulls_and_repeats(spark, tmp_path):
+    logs = GrowingLogs(spark, str(tmp_path))
+    rows = [("a", 0, chat_line(START)), ("a", 2, chat_line(START)), ("a", 3, None), ("a", None, "no number"), ("a", -1, "x"), ("a", 0, "zz")]
+    logs.add(spark.createDataFrame(rows, SCHEMA), 0)
+    got = {(r.line_no, r.value): r.match_id for r in logs.numbered(1).collect()}
+    assert got == {(0, chat_line(START)): 1, (None, "no number"): None}
+    logs.add(spark.createDataFrame([], SCHEMA), 1)
+    assert sorted(r.line_no for r in logs.waiting(2).collect()) == [2, 3]
+    assert {r.line_no: r.match_id for r in logs.flush(2).collect()} == {2: 2, 3: 2}
+    logs.add(spark.createDataFrame([("a", 1, "late"), ("a", 0, "again")], SCHEMA), 2)
+    assert {r.line_no: r.match_id for r in logs.numbered(3).where("line_no IS NOT NULL").collect()} == {0: 1, 1: 1, 2: 2, 3: 2}
+
+
+def test_stream_goes_on_after_a_stop(spark, tmp_path):
+    lines = make_logs(8, logs=("hot", "b"))
+    random.Random(2).shuffle(lines)
+    source, folder, checkpoint = (str(tmp_path / d) for d in ("in", "logs", "checkpoint"))
+    logs = GrowingLogs(spark, folder)
+
+    def run(part):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream = start_growing_stream(spark.readStream.schema(SCHEMA).parquet(source), logs, checkpoint, available_now=True)
+        stream.awaitTermination(120)
+        return batches_done(stream)
+
+    run(lines[:60])
+    done = run(lines[60:])
+    assert done == 2 and ids(logs.numbered(done)) == brute(lines)
+    assert logs.numbered(done).where(F.col("match_id").isNull()).isEmpty()
