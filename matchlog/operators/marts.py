@@ -151,13 +151,22 @@ def match_spans(ev: DataFrame) -> DataFrame:
 
     Times are carried as numbers (``hhmmss``, -1 for a line without a time):
     fixed width keeps the aggregate on the hash path before the shuffle."""
-    clock = F.when(F.col("event_time") == "", -1).otherwise(F.translate("event_time", ":", "").cast("int"))
-    per = ev.select("log_id", "match_id", "line_no", clock.alias("clock")).groupBy("log_id", "match_id").agg(
+    per = ev.select("log_id", "match_id", "line_no", clock_number().alias("clock")).groupBy("log_id", "match_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.min_by("clock", "line_no").alias("first"),
         F.max_by("clock", "line_no").alias("last"),
     )
-    return per.select("log_id", "match_id", "n", _clock_text("first").alias("first_time"), _clock_text("last").alias("last_time"))
+    return span_times(per)
+
+
+def clock_number() -> Column:
+    """``event_time`` as ``hhmmss``, -1 for a line without a time."""
+    return F.when(F.col("event_time") == "", -1).otherwise(F.translate("event_time", ":", "").cast("int"))
+
+
+def span_times(spans: DataFrame) -> DataFrame:
+    """``(log_id, match_id, n, first, last)`` with the clock numbers as text."""
+    return spans.select("log_id", "match_id", "n", _clock_text("first").alias("first_time"), _clock_text("last").alias("last_time"))
 
 
 def _clock_text(name: str) -> Column:

@@ -2,8 +2,9 @@
 
 Every query reads the driver's tables under ``sf_dir`` (the rendered log
 ``L`` comes from ``events``, the text operators from ``documents``), so its
-work grows with the tables.  Queries return lazy DataFrames; the caller acts.
-Column names equal the DuckDB oracle's in ``plans.oracle``.
+work grows with the tables.  Queries return DataFrames; the caller acts.  Most
+run nothing before that; those on growing logs, live marts, global ranks and
+distinct players write an intermediate table first.  Column names equal the DuckDB oracle's in ``plans.oracle``.
 """
 
 from __future__ import annotations
@@ -18,9 +19,13 @@ from ..functions.charset import decode_cp1252, encode_single_byte
 from ..functions.rules import is_match_start
 from ..operators import marts, timeline
 from ..operators.contract import original_contract
+from ..operators.distinct import players_by_everything
 from ..operators.events import build_events, classify_events, enrich
 from ..operators.framing import filter_chat, frame
+from ..operators.funnel import ordered_funnel
+from ..operators.intervals import overlap_counts
 from ..operators.lines import split_lines
+from ..operators.ranking import global_ranks
 from ..operators.scan import ordered_scan
 from ..operators.segment import assign_match_ids
 from ..operators.sessions import sessions
@@ -28,6 +33,7 @@ from ..session import scratch_path
 from ..sources.fixture import PROTAGONIST, render_log
 from ..sources.tables import read_table
 from ..streaming.growing import GrowingLogs, batches_done, start_growing_stream
+from ..streaming.live_marts import LiveMarts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -354,3 +360,58 @@ def growing_log_match_ids(spark, sf_dir):
     found = logs.numbered(batches_done(stream))
     events_of = spark.read.schema(arriving.schema).parquet(f"{folder}/arriving").select("log_id", "line_no", "event_id")
     return frame(found.join(events_of, ["log_id", "line_no"]), keep=("event_id", "log_id", "match_id")).select("event_id", "log_id", "match_id")
+
+
+# --- matches in time, ranks, sets -------------------------------------------------
+
+@query
+def match_overlaps(spark, sf_dir):
+    """How many other matches were played while a match was, by time of events."""
+    at = table(spark, sf_dir, "events").select(F.col("event_id").alias("line_no"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    ev = events(spark, sf_dir).select("log_id", "line_no", "match_id").join(at, "line_no")
+    spans = ev.groupBy("log_id", "match_id").agg(F.min("at").alias("start"), F.max("at").alias("end"))
+    return overlap_counts(spans, ["log_id", "match_id"])
+
+
+@query
+def match_funnel(spark, sf_dir):
+    """Ordered funnel: bed loss, then a final kill, then an elimination."""
+    return ordered_funnel(events(spark, sf_dir))
+
+
+@query
+def player_ranking(spark, sf_dir):
+    """All players by kills: row number, rank, share and decile."""
+    players = marts.kd_by_player(events(spark, sf_dir, with_match=False)).select("player", "kills")
+    return global_ranks(players, ["kills"], then="player", descending=True, tiles=10)
+
+
+@query
+def distinct_players(spark, sf_dir):
+    """Exact distinct players by match and category, rolled up along the lattice."""
+    return players_by_everything(events(spark, sf_dir))
+
+
+def _live(spark, sf_dir) -> tuple[LiveMarts, int]:
+    """The events in four batches, cut by line so that matches are spread over
+    them; the second is given twice, as after a failure."""
+    stored = scratch_path(spark, "events")
+    events(spark, sf_dir).write.parquet(stored)
+    ev = spark.read.parquet(stored)
+    live = LiveMarts(spark, scratch_path(spark, "live-marts"), log_type=ev.schema["log_id"].dataType.simpleString())
+    for batch in (0, 1, 1, 2, 3):
+        live.add(ev.where(F.pmod(F.floor(F.col("line_no") / 50), F.lit(4)) == batch), batch)
+    return live, 4
+
+
+@query
+def live_kd_by_player(spark, sf_dir):
+    live, batches = _live(spark, sf_dir)
+    return live.kd_by_player(batches)
+
+
+@query
+def live_match_spans(spark, sf_dir):
+    live, batches = _live(spark, sf_dir)
+    live.compact(2)
+    return live.match_spans(batches, compacted=2)

@@ -344,6 +344,40 @@ def oracle_sql() -> dict[str, str]:
         SELECT user_id AS player, session, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n,
                epoch_us(max(ts) - min(ts)) / 1000000 AS seconds
         FROM s GROUP BY user_id, session"""
+    q["live_kd_by_player"] = q["kd_by_player"]
+    q["live_match_spans"] = q["match_spans"]
+    q["match_overlaps"] = _on_events(
+        """
+        , m AS (SELECT log_id, match_id, min(ts) AS s, max(ts) AS e FROM ev GROUP BY log_id, match_id)
+        SELECT a.log_id, a.match_id, CAST(COUNT(*) - 1 AS BIGINT) AS overlaps
+        FROM m a JOIN m b ON a.s <= b.e AND b.s <= a.e GROUP BY a.log_id, a.match_id"""
+    )
+    q["match_funnel"] = _on_events(
+        """
+        , b AS (SELECT log_id, match_id, min(CASE WHEN category = 'bed_destroyed' THEN line_no END) AS bed_line FROM ev GROUP BY ALL),
+        f AS (SELECT b.*, (SELECT min(line_no) FROM ev e WHERE e.log_id = b.log_id AND e.match_id = b.match_id
+                AND e.category = 'pvp' AND e.is_final AND e.line_no > b.bed_line) AS final_line FROM b),
+        o AS (SELECT f.*, (SELECT min(line_no) FROM ev e WHERE e.log_id = f.log_id AND e.match_id = f.match_id
+                AND e.category = 'team_eliminated' AND e.line_no > f.final_line) AS out_line FROM f)
+        SELECT *, CAST(CASE WHEN out_line IS NOT NULL THEN 3 WHEN final_line IS NOT NULL THEN 2 WHEN bed_line IS NOT NULL THEN 1
+               ELSE 0 END AS INTEGER) AS steps_done FROM o"""
+    )
+    q["player_ranking"] = (
+        "SELECT player, kills, row_number() OVER w AS row_number, rank() OVER (ORDER BY kills DESC) AS rank, "
+        "percent_rank() OVER (ORDER BY kills DESC) AS percent_rank, ntile(10) OVER w AS tile "
+        f"FROM ({q['kd_by_player']}) WINDOW w AS (ORDER BY kills DESC, player)"
+    )
+    q["distinct_players"] = _on_events(
+        """
+        , p AS (
+          SELECT log_id, match_id, category, actor AS player FROM ev WHERE actor IS NOT NULL
+          UNION ALL SELECT log_id, match_id, category, target FROM ev WHERE category = 'pvp' AND target IS NOT NULL)
+        SELECT log_id, match_id, category,
+               CASE grouping_id(log_id, match_id, category) WHEN 0 THEN 'log_id,match_id,category' WHEN 1 THEN 'log_id,match_id'
+                 WHEN 2 THEN 'log_id,category' WHEN 3 THEN 'log_id' WHEN 6 THEN 'category' ELSE '' END AS level,
+               COUNT(DISTINCT player) AS n
+        FROM p GROUP BY GROUPING SETS ((log_id, match_id, category), (log_id, match_id), (log_id, category), (log_id), (category), ())"""
+    )
     global_ids = (
         "SELECT event_id, CAST(SUM(is_start) OVER (ORDER BY line_no "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS match_id FROM ev"
