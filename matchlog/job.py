@@ -1,6 +1,6 @@
 """The end-to-end job: raw logs in, event table and marts out.
 
-    python -m matchlog LOGS... --out DIR [--protagonist NAME] [--charset cp1252|utf-8] [--csv]
+    python -m matchlog LOGS... --out DIR [--protagonist NAME] [--charset cp1252|utf-8] [--csv [--bom]]
 
 The event table is written once (Parquet, partitioned by category) and read
 back for the marts: a written table cuts the lineage, so a lost executor
@@ -52,15 +52,17 @@ def run_job(
     protagonist: str,
     charset: str = "cp1252",
     csv: bool = False,
+    bom: bool = False,
 ) -> dict[str, str]:
-    """Run the whole ETL; returns the output folder of every table."""
+    """Run the whole ETL; returns the output folder of every table.  ``bom`` starts
+    the CSV files with a byte-order mark, as the original export does."""
     out_dir = out_dir.rstrip("/")
     lines = read_logs(spark, list(paths), charset=charset, with_match_ids=True)
     write_parquet(build_events(lines, protagonist), f"{out_dir}/events")
     ev = spark.read.parquet(f"{out_dir}/events")
     outputs = {"events": f"{out_dir}/events"}
     if csv:
-        write_csv(original_contract(ev), f"{out_dir}/events_csv")
+        write_csv(original_contract(ev), f"{out_dir}/events_csv", bom=bom)
         outputs["events_csv"] = f"{out_dir}/events_csv"
     # Lines and chat lines cannot be recovered from the event table.
     for name, df in {**mart_tables(ev, protagonist), "line_funnel": marts.line_funnel(lines)}.items():
@@ -77,9 +79,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--protagonist", required=True, help="owner of the logs")
     ap.add_argument("--charset", default="cp1252", choices=("cp1252", "utf-8"))
     ap.add_argument("--csv", action="store_true", help="also write the event table as CSV (original columns)")
+    ap.add_argument("--bom", action="store_true", help="start the CSV files with a byte-order mark")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("matchlog").getOrCreate()
-    for name, path in run_job(spark, args.logs, args.out, protagonist=args.protagonist, charset=args.charset, csv=args.csv).items():
+    for name, path in run_job(spark, args.logs, args.out, protagonist=args.protagonist, charset=args.charset, csv=args.csv, bom=args.bom).items():
         print(f"{name}\t{path}")
 
 

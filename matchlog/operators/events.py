@@ -1,7 +1,7 @@
 """Lines -> the flat event table (the ETL proper).
 
 ``build_events`` = frame -> classify -> enrich -> segment, all DataFrame to
-DataFrame, no action.  The row-local, regex-heavy work runs in the scan
+DataFrame; building runs nothing.  The row-local, regex-heavy work runs in the scan
 stage, whose parallelism follows the input splits; only the segmentation
 shuffles, and after it only the window and the offset join remain.  Marts
 that do not need ``match_id`` call it with ``with_match=False`` and skip the
@@ -42,10 +42,22 @@ def classify_events(events: DataFrame, message: str = "message") -> DataFrame:
     return select_once(events, events.columns, {"category": classify(message)})
 
 
+# Rows of ``owners`` that may be broadcast (one per log, tens of bytes each).
+BROADCAST_OWNERS = 500_000
+
+
 def with_owner(lines: DataFrame, owners: DataFrame) -> DataFrame:
-    """``lines`` with the ``owner`` of each log from ``owners(log_id, owner)``,
-    one row per log; logs without one get a null owner."""
-    return lines.join(owners.select("log_id", "owner"), "log_id", "left")
+    """``lines`` with the ``owner`` of each log from ``owners(log_id, owner)``;
+    logs without one get a null owner.  Two rows for a log raise, also if they
+    name the same owner: they would double its lines.  Up to ``BROADCAST_OWNERS``
+    owners are broadcast, so a log with a third of all lines is no hot key;
+    counting them is the one job that runs here."""
+    own = owners.groupBy("log_id").agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("_rows"))
+    twice = F.raise_error(F.concat(F.lit("several owners for log "), F.coalesce(F.col("log_id").cast("string"), F.lit("null")))).cast("string")
+    own = own.select(F.col("log_id").alias("_log"), F.when(F.col("_rows") == 1, F.col("owner")).otherwise(twice).alias("owner"))
+    if owners.limit(BROADCAST_OWNERS + 1).count() <= BROADCAST_OWNERS:
+        own = F.broadcast(own)
+    return lines.join(own, lines["log_id"].eqNullSafe(own["_log"]), "left").drop("_log")
 
 
 def owner_of(rows: DataFrame, protagonist: str | None) -> str:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import enrich as en
 from ..functions.charset import decode_cp1252, encode_single_byte
-from ..functions.rules import is_match_start
+from ..functions.rule_index import classify_indexed
+from ..functions.rules import LOBBY_JOIN_WORDS, LOBBY_LEAVE_WORDS, RULES, Rule, is_match_start
 from ..operators import marts, timeline
 from ..operators.contract import original_contract
 from ..operators.distinct import players_by_everything
@@ -415,3 +416,44 @@ def live_match_spans(spark, sf_dir):
     live, batches = _live(spark, sf_dir)
     live.compact(2)
     return live.match_spans(batches, compacted=2)
+
+
+# --- rule packs -------------------------------------------------------------------
+
+def detailed_rules() -> tuple[Rule, ...]:
+    """A pack of 241 rules: one per lobby player and direction, one per item and
+    level, then the general rules."""
+    lobby = [
+        Rule(f"{way}{k}", f"lobby:{way}:p{k}", rf"^p{k} {words} \(\d+/\d+\)\.$", starts=f"p{k} {words} (")
+        for k in range(100)
+        for way, words in (("join", LOBBY_JOIN_WORDS), ("leave", LOBBY_LEAVE_WORDS))
+    ]
+    items = [
+        Rule(f"item{k}.{n}", f"purchase:{k}:{n}", rf"^Você comprou Item {k} \(Nível {n}\)\.$", starts=f"Você comprou Item {k} (Nível {n})")
+        for k in range(10)
+        for n in range(3)
+    ]
+    return (*lobby, *items, *RULES)
+
+
+@query
+def classify_indexed_rules(spark, sf_dir):
+    """C1 through the rule index: the same categories as the one CASE."""
+    return classify_indexed(_framed(spark, sf_dir), RULES).select(F.col("line_no").alias("event_id"), "category")
+
+
+@query
+def classify_rule_pack(spark, sf_dir):
+    """A pack of hundreds of rules in one projection."""
+    return classify_indexed(_framed(spark, sf_dir), detailed_rules()).select(F.col("line_no").alias("event_id"), "category")
+
+
+@query
+def decode_byte_table(spark, sf_dir):
+    """S1 over the whole byte range: each character of the documents, by its code
+    modulo 256 as one byte, decoded as Windows-1252, with its count."""
+    d = table(spark, sf_dir, "documents").where(F.char_length("text") > 0)
+    codes = d.select(F.explode(F.expr("transform(split(text, ''), c -> CAST(ascii(c) % 256 AS INT))")).alias("byte"))
+    counts = codes.groupBy("byte").agg(F.count(F.lit(1)).alias("n"))
+    byte = F.unhex(F.lpad(F.hex(F.col("byte").cast("long")), 2, "0"))
+    return counts.select("byte", decode_cp1252(byte).alias("shown"), "n")

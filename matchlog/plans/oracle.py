@@ -378,6 +378,15 @@ def oracle_sql() -> dict[str, str]:
                COUNT(DISTINCT player) AS n
         FROM p GROUP BY GROUPING SETS ((log_id, match_id, category), (log_id, match_id), (log_id, category), (log_id), (category), ())"""
     )
+    q["classify_indexed_rules"] = q["classify_events"]
+    q["classify_rule_pack"] = _on_events(
+        "SELECT event_id, CASE category WHEN 'lobby' THEN concat('lobby:', CASE s5 WHEN 2 THEN 'join' ELSE 'leave' END, ':p', k) "
+        "WHEN 'purchase' THEN concat('purchase:', k % 10, ':', k % 3) ELSE category END AS category FROM ev"
+    )
+    q["decode_byte_table"] = f"""
+        WITH c AS (SELECT unnest(string_split(text, '')) AS c FROM documents WHERE length(text) > 0),
+        b AS (SELECT CAST(ord(c) % 256 AS INTEGER) AS byte, count(*) AS n FROM c GROUP BY 1)
+        SELECT byte, CASE WHEN byte BETWEEN 128 AND 159 THEN '{_WINDOWS_1252}'[byte - 127] ELSE chr(byte) END AS shown, n FROM b"""
     global_ids = (
         "SELECT event_id, CAST(SUM(is_start) OVER (ORDER BY line_no "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS match_id FROM ev"

@@ -15,12 +15,14 @@ def test_run_job(spark):
     text = "".join(f"[10:00:{i:02d}] [Client thread/INFO]: [CHAT] {m}\r\n" for i, m in enumerate(msgs))
     with open(os.path.join(logs, "latest.log"), "wb") as f:
         f.write(text.encode("cp1252"))
-    out = run_job(spark, [logs], os.path.join(root, "out"), protagonist="p9", csv=True)
+    out = run_job(spark, [logs], os.path.join(root, "out"), protagonist="p9", csv=True, bom=True)
     assert spark.read.parquet(out["events"]).count() == len(msgs)
     (s,) = spark.read.parquet(out["protagonist_summary"]).collect()
     assert (s.kills, s.deaths, s.final_kills) == (1, 0, 1)
     assert spark.read.parquet(out["beds_by_team"]).collect()[0].team == "Time Azul"
     csv = spark.read.option("header", True).csv(out["events_csv"])
+    parts = [os.path.join(d, f) for d, _, names in os.walk(out["events_csv"]) for f in names if f.endswith(".csv")]
+    assert parts and all(open(f, "rb").read(3) == b"\xef\xbb\xbf" for f in parts)
     assert "categoria_evento" in csv.columns and csv.where("categoria_evento = 'PvP'").count() == 1
     assert len([k for k in out if k not in ("events", "events_csv")]) == 18
     assert spark.read.parquet(out["line_funnel"]).first().asDict() == {"lines": 8, "chat_lines": 8, "events": 8, "matches": 1}

@@ -135,3 +135,20 @@ def test_owner_of_each_log(spark):
     assert build_events(with_owner(lines, owners), exact_name=True).count() == 18
     with pytest.raises(ValueError):
         build_events(lines)
+
+
+def test_owners_are_one_per_log(spark, monkeypatch):
+    """Null logs have owners too; a log with two owners raises; owners beyond the
+    broadcast size are joined all the same."""
+    from matchlog.operators import events
+    from matchlog.operators.events import with_owner
+
+    lines = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (None, 0, "c"), (2, 0, "d")], "log_id long, line_no long, value string")
+    owners = spark.createDataFrame([(1, "ana"), (None, "bia")], "log_id long, owner string")
+    expected = {"a": "ana", "b": "ana", "c": "bia", "d": None}
+    assert {r.value: r.owner for r in with_owner(lines, owners).collect()} == expected
+    monkeypatch.setattr(events, "BROADCAST_OWNERS", 1)
+    assert {r.value: r.owner for r in with_owner(lines, owners).collect()} == expected
+    for twice in ([(1, "ana"), (1, "bia")], [(1, "ana"), (1, "ana")]):
+        with pytest.raises(Exception, match="several owners for log 1"):
+            with_owner(lines, spark.createDataFrame(twice, "log_id long, owner string")).collect()
