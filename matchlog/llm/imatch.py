@@ -2,28 +2,35 @@
 
 Document frequencies of all terms are counted over the whole corpus, and the
 lexicon keeps the terms within a band of inverse document frequency.  A text's
-distinct lexicon terms are sorted and hashed once in full, and once for each of
-several random subsets of the lexicon: those terms whose hash a prime divides.
-The primes grow, so that short and long texts alike have subsets of which they
-hold a few terms; those hashes outlive small edits.  A text without
-lexicon terms (short, or of a rare language or topic) is hashed by all its
-terms, in full and in the subsets.  A text of fewer than ``SHORT`` terms of
-either kind has dense subsets besides, which are never empty: where the prime divides no
-hash, the terms with the smallest remainder are taken.
-
-The likeness of two fingerprints is the share of equal hashes among the subsets
-of which at least one of the two texts holds a term.
+distinct terms are hashed and sorted.  One hash covers all of its lexicon terms;
+the others cover random subsets of the lexicon, which outlive small edits.
+
+Each modulus gives a nested family of random lexicons: a term's rank in it is the
+remainder of its hash, and the lexicon of rank r holds the terms of rank r or
+less.  Terms outside the band join the family half a modulus later.  A text is
+hashed by the smallest of these lexicons that holds any of its terms: a long text
+by the terms of rank 0, a text of few terms by one or two of them, a text
+without lexicon terms by others.  So one rule serves every text, no subset is
+empty, and the likeness of two texts changes gradually with the number of their
+terms.  The moduli grow, so that texts of any length have subsets of which they
+hold a few terms.
+
+The likeness of two fingerprints is the share of equal hashes among the subsets;
+texts without any term have none, and their likeness is 0.
 
 The lexicon becomes a set of constants in the plan.  The band bounds it: terms
 in at least one of ``RAREST`` documents number at most ``RAREST`` times the mean
-number of distinct terms in a text, whatever the corpus.  So texts are shuffled
-once, to meet the next document, and terms never.  DataFrame operations only.
+number of distinct terms in a text, whatever the corpus.  Texts are shuffled
+once, by id: the text that gives its start to the document before and the text
+that takes one are read from the same exchange.  Terms are never shuffled with a
+text.  DataFrame operations only.
 
 Defined results: null text is empty; a text without terms is hashed by its
 characters, so equal texts always have equal fingerprints; the next document is that with the next larger id (after
 the last, the first), of several rows with that id the one with the smallest
 hash; rows with a null id have the empty text as the next; every row gives one
-row; other columns are not read; an empty table gives an empty result.
+row; ids are integers (others raise); other columns are not read; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,11 +42,8 @@ from .common import stored
 
 # The band: terms in at most one of COMMONEST and at least one of RAREST texts.
 COMMONEST, RAREST = 8, 300
-# Subset r holds one term in PRIMES[r] of the lexicon.
-PRIMES = (13, 17, 23, 31, 43, 61, 89, 127, 179, 251, 359, 509, 719, 1021, 1447, 2053)
-# Further subsets of texts with fewer than SHORT terms.
-DENSE = (5, 7, 11, 19)
-SHORT = 16
+# The moduli: a text of more terms has more of them of rank 0.
+MODULI = (61, 89, 127, 179, 251, 359, 509, 719, 1021, 1447, 2053, 2903, 4099, 5801, 8209, 11617)
 
 
 def terms_of(text: Column) -> Column:
@@ -79,17 +83,20 @@ def successors(ids: DataFrame) -> DataFrame:
 def edited(docs: DataFrame) -> DataFrame:
     """``(doc_id, next_id, n_chars, text, edited)``: the last quarter of each
     text replaced by the start of the next document's."""
-    lengths = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.char_length("text")).alias("longest"))
-    lengths = stored(lengths, "lengths")
+    # Both reads of ``known`` are the same plan, so its exchange is written once.
+    known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    lengths = stored(known.groupBy("doc_id").agg(F.max(F.char_length("text")).alias("longest")), "lengths")
     after = stored(successors(lengths.select(F.col("doc_id").alias("id"))), "successors")
     wanted = after.join(lengths, F.col("id") == F.col("doc_id")).select(
         F.col("next_id").alias("doc_id"), F.col("id").alias("before"), F.floor(F.col("longest") / 4).cast("int").alias("most")
     )
-    heads = docs.join(wanted, "doc_id").select("before", F.col("doc_id").alias("next_id"), F.expr("substring(text, 1, most)").alias("head"))
+    heads = known.join(wanted, "doc_id").select("before", F.col("doc_id").alias("next_id"), F.expr("substring(text, 1, most)").alias("head"))
     one = Window.partitionBy("before").orderBy(F.xxhash64("head"), "head")
     heads = heads.withColumn("place", F.row_number().over(one)).where("place = 1").select(F.col("before").alias("doc_id"), "next_id", "head")
+    nothing = docs.where("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast(docs.schema["doc_id"].dataType).alias("next_id"), F.lit("").alias("head"))
+    met = known.join(heads, "doc_id", "left").select("doc_id", "text", "next_id", "head").unionByName(nothing)
     n = F.char_length("text")
-    return docs.join(heads, "doc_id", "left").select(
+    return met.select(
         "doc_id",
         "next_id",
         n.cast("long").alias("n_chars"),
@@ -101,30 +108,34 @@ def edited(docs: DataFrame) -> DataFrame:
     )
 
 
-def _divisible(p: int):
-    return lambda t: F.pmod(t["h"], F.lit(p)) == 0
+def _subset(known: str, others: str, modulus: int) -> str:
+    """Hash of the terms of the least rank, taken in one pass over the sorted
+    hashes of the terms in the band and one over the others."""
 
+    def passed(terms: str, start: str, late: int) -> str:
+        rank = f"(pmod(t, {modulus}L) + {late}L)"
+        return (
+            f"aggregate({terms}, {start}, (a, t) -> CASE WHEN {rank} < a.least THEN named_struct('least', {rank}, 'h', xxhash64(t)) "
+            f"WHEN {rank} = a.least THEN named_struct('least', a.least, 'h', xxhash64(a.h, t)) ELSE a END)"
+        )
 
-def signatures(terms: Column, instead: Column) -> Column:
-    """Hash of the sorted terms and of each subset, null where there are none;
-    ``terms`` is a sorted array of (term, h)."""
-    every = F.when(F.size(terms) > 0, F.xxhash64(F.transform(terms, lambda t: t["term"]))).otherwise(instead)
-    hashes = []
-    for p in PRIMES:
-        own = F.transform(F.filter(terms, _divisible(p)), lambda t: t["term"])
-        hashes.append(F.when(F.size(own) > 0, F.xxhash64(own)))
-    for p in DENSE:
-        least = F.array_min(F.transform(terms, lambda t: F.pmod(t["h"], F.lit(p))))
-        own = F.transform(F.filter(terms, lambda t: F.pmod(t["h"], F.lit(p)) == least), lambda t: t["term"])
-        hashes.append(F.when((F.size(terms) > 0) & (F.size(terms) < SHORT), F.xxhash64(own)))
-    return F.array(every, *hashes)
+    none = f"named_struct('least', {2 * modulus}L, 'h', CAST(NULL AS BIGINT))"
+    return passed(others, passed(known, none, 0), modulus // 2) + ".h"
+
+
+def signatures(known: str, others: str, instead: Column) -> Column:
+    """Hash of the lexicon terms (of all terms if there are none) and of the
+    subset of each modulus; the columns ``known`` and ``others`` are sorted arrays
+    of term hashes inside and outside the band."""
+    every = F.when(F.size(known) > 0, F.xxhash64(known)).when(F.size(others) > 0, F.xxhash64(others)).otherwise(instead)
+    return F.array(every, *[F.expr(_subset(known, others, m)) for m in MODULI])
 
 
 def likeness(a: Column, b: Column) -> Column:
-    both = F.arrays_zip(a.alias("a"), b.alias("b"))
+    """Share of equal hashes of subsets (the first hash is that of all terms)."""
+    both = F.arrays_zip(F.slice(a, 2, len(MODULI)).alias("a"), F.slice(b, 2, len(MODULI)).alias("b"))
     equal = F.size(F.filter(both, lambda x: x["a"] == x["b"]))
-    some = F.size(F.filter(both, lambda x: x["a"].isNotNull() | x["b"].isNotNull()))
-    return F.when(some > 0, equal / some).otherwise(F.lit(0.0))
+    return equal / F.lit(float(len(MODULI)))
 
 
 def as_text(fingerprint: Column) -> Column:
@@ -133,31 +144,32 @@ def as_text(fingerprint: Column) -> Column:
 
 def fingerprints(rows: DataFrame, lexicon: list[str], texts: list[str]) -> DataFrame:
     """``rows`` with an array of hashes ``<name>_print`` for each text column."""
+    literals = ", ".join(f"'{t}'" for t in lexicon) or "NULL"
     for c in texts:
         rows = rows.withColumn(f"{c}_terms", terms_of(F.col(c)))
-    known = ", ".join(f"'{t}'" for t in lexicon) or "NULL"
-    for c in texts:
-        rows = rows.withColumn(f"{c}_kept", F.expr(f"filter({c}_terms, t -> t IN ({known}))"))
     for c in texts:
-        chosen = F.when(F.size(f"{c}_kept") > 0, F.col(f"{c}_kept")).otherwise(F.col(f"{c}_terms"))
-        rows = rows.withColumn(f"{c}_terms", chosen).drop(f"{c}_kept").withColumn(f"{c}_instead", F.xxhash64(F.lit(2), F.col(c)))
+        rows = rows.withColumn(f"{c}_in", F.expr(f"filter({c}_terms, t -> t IN ({literals}))"))
     for c in texts:
-        marked = F.transform(F.array_sort(f"{c}_terms"), lambda t: F.struct(t.alias("term"), F.xxhash64(t).alias("h")))
-        rows = rows.withColumn(f"{c}_terms", marked)
-    return rows.select("*", *[signatures(F.col(f"{c}_terms"), F.col(f"{c}_instead")).alias(f"{c}_print") for c in texts])
+        hashed = lambda terms: F.sort_array(F.transform(terms, lambda t: F.xxhash64(t)))
+        rows = rows.withColumn(f"{c}_out", hashed(F.array_except(f"{c}_terms", f"{c}_in"))).withColumn(f"{c}_in", hashed(F.col(f"{c}_in")))
+    prints = [signatures(f"{c}_in", f"{c}_out", F.xxhash64(F.lit(2), F.col(c))).alias(f"{c}_print") for c in texts]
+    return rows.select(*[c for c in rows.columns if c not in {f"{t}_{k}" for t in texts for k in ("terms", "in", "out")}], *prints)
 
 
 def fingerprint_pairs(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next)``."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # An alias to the same name would be dropped from one read of the exchange
+    # only, and the two would differ.
+    key = F.col(doc_id) if doc_id == "doc_id" else F.col(doc_id).alias("doc_id")
+    rows = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text"))
     both = fingerprints(edited(rows), lexicon_of(rows), ["text", "edited"])
     made = stored(
         both.select("doc_id", "next_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "text_print", "edited_print"),
         "fingerprints",
     )
     one = made.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("text_print").alias("next_print"))
-    empty = F.array(F.xxhash64(F.lit(2), F.lit("")), *[F.lit(None).cast("long")] * (len(PRIMES) + len(DENSE)))
+    empty = F.array(F.xxhash64(F.lit(2), F.lit("")), *[F.lit(None).cast("long")] * len(MODULI))
     return made.join(one, "next_id", "left").select(
         "doc_id",
         "n_chars",

@@ -2,11 +2,12 @@
 
 import hashlib
 import random
-import re
 from collections import defaultdict
 from itertools import combinations
 
 import pytest
+import regex as re
+import xxhash
 from llm_helpers import SF_SMALL, texts_of
 from pyspark.sql import functions as F
 
@@ -19,8 +20,7 @@ def parts(fingerprint):
 
 
 def like(a, b):
-    some = [(x, y) for x, y in zip(parts(a), parts(b)) if x or y]
-    return sum(x == y for x, y in some) / len(some) if some else 0.0
+    return sum(x == y != "" for x, y in zip(parts(a)[1:], parts(b)[1:])) / len(imatch.MODULI)
 
 
 def terms(text):
@@ -44,7 +44,60 @@ def test_fingerprint_query(spark):
         by_text[texts[i]].add(r["fingerprint"])
     assert all(len(v) == 1 for v in by_text.values())
     mean = lambda c: sum(r[c] for r in rows.values()) / len(rows)
-    assert mean("near_edited") > 10 * mean("near_next")
+    assert mean("near_edited") > 0.4 and mean("near_next") < 0.05
+    assert sum(r["near_edited"] > r["near_next"] for r in rows.values()) >= 0.97 * len(rows)
+    lexicon = set(imatch.lexicon_of(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))))
+    for i in ids:
+        changed = texts[i][: len(texts[i]) - len(texts[i]) // 4] + texts[after[i]][: len(texts[i]) // 4]
+        assert rows[i]["fingerprint"] == brute_print(texts[i], lexicon) and rows[i]["edited_fingerprint"] == brute_print(changed, lexicon)
+
+
+def hash64(data, seed=42):
+    """Spark's xxhash64 of a string or a long."""
+    raw = data.encode() if isinstance(data, str) else (data % 2**64).to_bytes(8, "little")
+    return (xxhash.xxh64_intdigest(raw, seed % 2**64) + 2**63) % 2**64 - 2**63
+
+
+def chain(hashes):
+    seed = 42
+    for h in hashes:
+        seed = hash64(h, seed)
+    return seed
+
+
+def brute_print(text, lexicon):
+    own = set(filter(None, re.split(r"[^\p{L}\p{N}]+", text.lower())))
+    known, others = (sorted(hash64(t) for t in own if (t in lexicon) == inside) for inside in (True, False))
+    out = [chain(known or others)] if own else [hash64(text, hash64_int(2))]
+    for m in imatch.MODULI:
+        ranks = [(h % m, h) for h in known] + [(h % m + m // 2, h) for h in others]
+        least = min((r for r, _ in ranks), default=None)
+        folded = None
+        for h in (h for r, h in ranks if r == least):
+            folded = hash64(h) if folded is None else hash64(h, hash64(folded))
+        out.append(folded)
+    return "-".join("" if h is None else f"{h % 2**64:x}" for h in out)
+
+
+def hash64_int(n):
+    """Spark hashes an int as four bytes."""
+    return (xxhash.xxh64_intdigest(n.to_bytes(4, "little"), 42) + 2**63) % 2**64 - 2**63
+
+
+def test_likeness_changes_gradually_with_the_number_of_terms(spark):
+    """Texts of which one term changes, by their number of terms, some with a few
+    terms of the band: no jump between neighbouring numbers."""
+    rows = []
+    for n in range(3, 31):
+        for k in range(60):
+            words = [f"known{k}{j}" for j in range(k % 4)] + [f"t{n}x{k}x{j}" for j in range(n - k % 4)]
+            rows.append((n, " ".join(words), " ".join([*words[:-1], f"other{n}x{k}"])))
+    df = spark.createDataFrame(rows, "n int, text string, edited string")
+    both = imatch.fingerprints(df, [f"known{k}{j}" for k in range(60) for j in range(4)], ["text", "edited"])
+    mean = both.groupBy("n").agg(F.avg(imatch.likeness(F.col("text_print"), F.col("edited_print"))).alias("like")).collect()
+    like_of = {r["n"]: r["like"] for r in mean}
+    assert all(abs(like_of[n] - like_of[n + 1]) < 0.12 for n in range(3, 30))
+    assert all(like_of[n] > (n - 1) / (n + 1) - 0.12 for n in range(3, 31))
 
 
 def test_lexicon_is_the_band(spark):
