@@ -45,7 +45,16 @@ STATE = {
 }
 # A file is read whatever its time stamp.
 MAX_FILE_AGE = "36500d"
-LAST_ID = (1 << 63) - 1
+
+
+def _first() -> list[Column]:
+    """What the row that stays has most of: code points, then an id at all, then
+    the complement of its id, which is larger the smaller the id is."""
+    return [F.col("n_chars"), F.col("doc_id").isNotNull().alias("known"), F.bitwise_not(F.coalesce("doc_id", F.lit(0).cast("long"))).alias("before")]
+
+
+def _id_of(first: Column) -> Column:
+    return F.when(first["known"], F.bitwise_not(first["before"]))
 
 
 def sha256(normal: Column) -> Column:
@@ -105,7 +114,7 @@ def update_state(
     the whole state as ``(digest, keep_id, locator, group_size)``."""
     limit = ("maxFilesPerTrigger", batch_files) if batch_files else ("maxBytesPerTrigger", batch_bytes)
     files = spark.readStream.schema(schema).option(*limit).option("maxFileAge", MAX_FILE_AGE).parquet(literal_glob(path))
-    first = F.struct("n_chars", (-F.coalesce("doc_id", F.lit(LAST_ID))).alias("before"), "locator")
+    first = F.struct(*_first(), "locator")
     state = (
         rows_of(files, digest, F.col("_metadata.file_path").alias("locator"))
         .groupBy("digest")
@@ -123,10 +132,9 @@ def update_state(
         kept = spark.read.format("statestore").option("path", state_dir).load()
     value = [f.name for f in kept.schema["value"].dataType.fields]
     first, n = (F.col("value")[name] for name in value)
-    keep = -first["before"]
     return kept.select(
         F.col("key.digest").alias("digest"),
-        F.when(keep != LAST_ID, keep).alias("keep_id"),
+        _id_of(first).alias("keep_id"),
         first["locator"].alias("locator"),
         n.alias("group_size"),
     )
@@ -174,12 +182,11 @@ def decide(docs: DataFrame, state: DataFrame, *, digest: Callable[[Column], Colu
 def _by_bytes(docs: DataFrame, collisions: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Rows of colliding digests, decided by their full texts."""
     parts = rows_of(docs, digest, normalised(F.col("text")).alias("normal")).join(collisions, "digest", "left_semi")
-    first = F.max(F.struct("n_chars", (-F.coalesce("doc_id", F.lit(LAST_ID))).alias("before")))
+    first = F.max(F.struct(*_first()))
     groups = parts.groupBy("normal").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
-    keep = -F.col("first.before")
     return parts.join(groups, "normal").select(
         "doc_id",
-        F.when(keep != LAST_ID, keep).alias("keep_id"),
+        _id_of(F.col("first")).alias("keep_id"),
         "group_size",
         sha256(F.col("normal")).alias("text_sha256"),
         F.lit(None).cast("string").alias("locator"),

@@ -48,6 +48,16 @@ def test_exact_awkward_rows(spark, awkward, tmp_path, digest):
     assert got == brute_exact([(r["doc_id"], r["text"]) for r in awkward.collect()])
 
 
+@pytest.mark.parametrize("digest", [exact_dedup.sha256, weak])
+def test_exact_extreme_ids(spark, tmp_path, digest):
+    low, high = -(2**63), 2**63 - 1
+    rows = [(high, "a b"), (high, "only"), (low, "low"), (low + 1, "low"), (high, "tie x"), (None, "tie x"), (low, "x"), (high, "x"), (None, "x"), (None, "none"), (0, "zero"), (-1, "zero")]
+    path = write(spark, spark.createDataFrame(rows, "doc_id long, text string"), tmp_path)
+    got = exact_dedup.deduplicate(spark, path, digest=digest).collect()
+    got = sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["kept"], r["text_sha256"]) for r in got)
+    assert got == brute_exact(rows)
+
+
 def test_exact_empty_table(spark, empty, tmp_path):
     assert exact_dedup.deduplicate(spark, write(spark, empty, tmp_path)).collect() == []
 
