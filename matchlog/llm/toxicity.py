@@ -17,7 +17,7 @@ toxic and other texts.  Near copies share one vote (rows with the same smallest
 n-gram hash), so a copied text does not make its words insults.  The logistic
 model is fitted on a part of these rows with words learned from the other part.
 ``SAMPLE`` labelled rows at most are used, those with the smallest hash of the
-id; that bounds everything that the fit collects.
+id; that bounds everything that the fit collects, the learned words included.
 
 Defined results: null or empty text has no clause and gets the score of a text
 without matches; labels that are null, or of ids without a document, are left
@@ -43,7 +43,6 @@ from .letters import letter_words
 
 THRESHOLD = 0.7
 SAMPLE = 30_000
-LEXICON = 5_000
 STEMS = (5, 6, 7)
 SCOPE = 3
 
@@ -254,7 +253,7 @@ def learn_lexicon(counts: list, toxic: float, clean: float) -> Lexicon:
         # The log odds less two standard errors.
         sure = odds - 2 * np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)) * (0.5 if c == 0 else 1.0)
         rows.append((size, term, odds, sure, t))
-    strong = sorted((r for r in rows if r[4] >= 3 and r[3] > 0.5), key=lambda r: (-r[3], r[0], r[1]))[:LEXICON]
+    strong = sorted((r for r in rows if r[4] >= 3 and r[3] > 0.5), key=lambda r: (-r[3], r[0], r[1]))
     for size in (0, *STEMS):
         own = [(r[1], float(r[2])) for r in strong if r[0] == size]
         names, weights = [n for n, _ in own], [w for _, w in own]

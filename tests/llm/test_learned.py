@@ -1,6 +1,7 @@
 """Toxicity and language: held-out accuracy and defined results."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -64,6 +65,56 @@ def test_composition_is_in_order():
     assert [s.weight for s in run([toxicity.Symbol(0, 1.0)] * 3)] == [2.0, 2.0, 0.0]
 
 
+def brute_features(text, lex):
+    """The grammar by positions: what stands before or after a word of a clause."""
+    out, words_in = np.zeros(9), 0
+    for clause in re.split(r"[.!?;\n]", text):
+        words = re.findall(r"[^\W\d_]+", clause.lower())
+        words_in += len(words)
+        known = dict(zip(lex.words, lex.weights))
+        kinds = [toxicity.FIXED.get(w, toxicity.INSULT if w in known or w[:5] == "moron" else toxicity.OTHER) for w in words]
+        score, matched = 0.0, False
+        for i, (w, kind) in enumerate(zip(words, kinds)):
+            if kind not in (toxicity.INSULT, toxicity.THREAT):
+                continue
+            matched = True
+            before, after = kinds[:i], kinds[i + 1 :]
+            weight = known.get(w, 0.5) if kind == toxicity.INSULT else 0.0
+            if toxicity.NEGATION in before[-toxicity.SCOPE :]:
+                reading = toxicity.DENIED
+            else:
+                if kind == toxicity.THREAT:
+                    weight = float(toxicity.TARGET in before or toxicity.INSULT in before)
+                if toxicity.REPORT in before:
+                    reading = toxicity.QUOTED
+                elif kind == toxicity.THREAT:
+                    reading = toxicity.THREATENED
+                else:
+                    reading = toxicity.AIMED if toxicity.TARGET in before + after else toxicity.PLAIN
+            out[reading] += weight
+            score += weight * (reading in (toxicity.PLAIN, toxicity.AIMED, toxicity.THREATENED))
+        out[5] = max(out[5], score)
+        out[6] += matched and score > 0
+    total = out[toxicity.PLAIN] + out[toxicity.AIMED] + out[toxicity.THREATENED]
+    out[7] = 10 * total / (words_in + 10)
+    out[:8] = np.log1p(out[:8])
+    out[8] = 1.0
+    return out
+
+
+def test_grammar_equals_brute_force():
+    rng = random.Random(11)
+    vocabulary = ["you", "he", "not", "never", "said", "wrote", "kill", "hurt", "moron", "fool", "morons", "moronic", "plain", "words", "x", "the"]
+    texts = []
+    for _ in range(400):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(0, 14))]
+        texts.append("".join(w + rng.choice([" "] * 6 + [". ", "! ", "; ", "\n", ", "]) for w in words))
+    got = toxicity.features(texts, lexicon())
+    for text, row in zip(texts, got):
+        assert row == pytest.approx(brute_features(text, lexicon())), text
+    assert all(got[:, k].any() for k in range(8))
+
+
 def test_toxicity_of_awkward_rows(spark, awkward, empty):
     labels = spark.createDataFrame([(1, 0), (5, 1), (6, 0), (6, None), (None, 1), (99, 1)], "doc_id long, toxic int")
     model = toxicity.train(awkward, labels)
