@@ -77,7 +77,8 @@ ENDS = {
 IN_HEAD = frozenset("title meta link base script style noscript template head".split())
 # Words of class names and ids.
 NOT_ARTICLE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising adsense adsbygoogle sponsor sponsors sponsored promo promos "
+    "ad ads adv adbox adslot adunit adwrap adwrapper adcontainer adspace adzone "
+    "advert adverts advertisement advertisements advertising adsense adsbygoogle sponsor sponsors sponsored promo promos "
     "promoted promotion promotions banner banners cookie cookies consent gdpr notice notices notification notifications alert alerts "
     "popup popups popover modal overlay nav navs navbar navigation menu menus submenu breadcrumb breadcrumbs masthead footer footers "
     "sidebar sidebars sidenav aside widget widgets related recommended recommendations teaser teasers share shares sharing social "
@@ -86,8 +87,8 @@ NOT_ARTICLE_WORDS = frozenset(
 )
 HEADER_WORDS = frozenset("header headers topbar".split())
 ARTICLE_WORDS = frozenset("article content main story post entry".split())
-# A class name that starts so says what an element has, not what it is.
-HAS = frozenset("has no with without is not".split())
+# A class name that starts so says what an element has or is about, not what it is.
+HAS = frozenset("has no with without is not category cat tag tags topic format type status author".split())
 
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 # Kinds of elements.
@@ -320,13 +321,18 @@ def _inside(page: PageEvents, regions: set[int]) -> list[bool]:
 def _regions(page: PageEvents, excluded: list[bool], weight: np.ndarray) -> set[int]:
     """The elements that hold the article; ``weight`` is the clustered text in
     each element."""
+    marked: set[int] = set()
     for kind in (ARTICLE, MAIN):
         found = [e for e, k in enumerate(page.kinds) if k == kind and not excluded[e]]
         within = _inside(page, set(found))
         outer = [e for e in found if not within[page.parents[e]]]
         most = max((weight[e] for e in outer), default=0)
-        if most:
-            return {e for e in outer if weight[e] >= SHARE * most}
+        chosen = {e for e in outer if weight[e] >= SHARE * most > 0}
+        if 2 * sum(weight[e] for e in chosen) >= weight[0] > 0:
+            return chosen
+        marked = marked or chosen
+    if marked:
+        return marked
     found = [e for e, k in enumerate(page.kinds) if k == CONTENT and not excluded[e]]
     most = max((weight[e] for e in found), default=0)
     if most * 2 >= weight[0] > 0:

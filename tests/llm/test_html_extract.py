@@ -76,6 +76,19 @@ def test_wrapper_with_a_misleading_class():
     assert main_text(page(f"<form id=aspnet><main>{ARTICLE}</main></form>")) == TEXT
 
 
+def test_class_names_about_a_topic_exclude_nothing():
+    named = f'<article class="post type-post category-advertising tag-cookies status-publish">{ARTICLE}</article>'
+    assert main_text(page(named, before=MENU)) == TEXT
+    assert main_text(page(f"{named}<div class='adslot top'>{WORDS}</div><div class='tag-list'><a href=1>x</a></div>", before=MENU)) == TEXT
+
+
+def test_small_article_inside_the_main_part():
+    inner = f"<main><h1>Title</h1><p>{WORDS}</p><p>{WORDS}</p><p>{WORDS}</p><article><p>{WORDS}</p></article></main>"
+    assert main_text(page(inner, before=MENU)) == "\n".join(["Title", WORDS, WORDS, WORDS, WORDS])
+    posts = "".join(f"<article><h2>Post {i}</h2><p>{WORDS}</p></article>" for i in range(3))
+    assert main_text(page(posts, before=MENU)) == "\n".join(f"Post {i}\n{WORDS}" for i in range(3))
+
+
 def test_references_white_space_and_unclosed_tags():
     text = "a &amp; b &lt;c&gt; &eacute;&#233;&#xe9; &nbsp; x\n\t y &amp z &am &unknown; 1 < 2"
     assert main_text(page(f"<article><p>{text}<p><b>bold<br><p>next</article>")) == "a & b <c> ééé x y & z &am &unknown; 1 < 2\nbold\nnext"
