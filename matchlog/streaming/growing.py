@@ -15,6 +15,10 @@ that is run again after a failure overwrites its own output with the same rows.
 Running counts inside a batch are chunked scans: a log with a third of the batch
 is no single task.
 
+A file that is still written (``latest.log``) is polled: ``poll`` reads it anew and
+adds what the state has not numbered yet.  Its last line may be half written, so it
+waits for the next poll, or for ``closed=True``.
+
 Defined results: a line that was numbered before is dropped; of several lines
 with one number in a batch the smallest text stays; a line without a number
 gets a null match id at once; a null log id is a log; lines before number 0 are
@@ -31,6 +35,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.framing import is_start_line
 from ..operators.scan import ordered_scan
 from ..operators.segment import DEFAULT_CHUNK_ROWS
+from ..sources.logs import read_logs
 
 SNAPSHOT_EVERY = 20
 
@@ -127,3 +132,14 @@ def batches_done(query: StreamingQuery) -> int:
     """Batches that a stopped query has finished since its checkpoint began."""
     last = query.lastProgress
     return 0 if last is None else last["batchId"] + (1 if last["numInputRows"] else 0)
+
+
+def poll(logs: GrowingLogs, paths: str | list[str], batch: int, *, charset: str = "cp1252", closed: bool = False) -> None:
+    """Add the lines of growing text files as batch ``batch``; ``log_id`` is the
+    path.  The files are read from their start, and lines that are numbered
+    already are dropped before anything is written."""
+    lines = read_logs(logs.spark, paths, charset=charset, with_match_ids=False)
+    if not closed:
+        last = lines.groupBy("log_id").agg(F.max("line_no").alias("line_no"))
+        lines = lines.join(last, ["log_id", "line_no"], "left_anti")
+    logs.add(lines, batch)

@@ -12,7 +12,8 @@ the checkpointed file log.
 
 Match ids are per log file, so a file must be complete when it lands (roll
 ``latest.log`` into the watched directory when the game closes it); every
-file is processed whole in one micro-batch.
+file is processed whole in one micro-batch.  Files that are still written are
+``growing``'s.
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.events import build_events
 from ..sources.logs import read_logs
+from .live_marts import LiveMarts
 
 # The binaryFile source's fixed schema (content is pruned: never read here).
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _batch_writer(out_dir: str, protagonist: str, charset: str):
+def _batch_writer(out_dir: str, protagonist: str, charset: str, live: LiveMarts | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         # File names of this micro-batch only (bounded by maxFilesPerTrigger).
         paths = [r.path for r in batch.select("path").distinct().collect()]
@@ -43,6 +45,9 @@ def _batch_writer(out_dir: str, protagonist: str, charset: str):
             .partitionBy("batch_id")
             .parquet(out_dir)
         )
+        if live is not None:
+            # From the written batch: its events are parsed once.
+            live.add(spark.read.parquet(out_dir).where(F.col("batch_id") == batch_id), batch_id)
 
     return write
 
@@ -59,8 +64,10 @@ def start_event_stream(
     max_files_per_trigger: int = 64,
     available_now: bool = False,
     processing_time: str = "1 minute",
+    live: LiveMarts | None = None,
 ) -> StreamingQuery:
     """Start the incremental ETL; returns the running ``StreamingQuery``.
+    ``live`` keeps marts up to date from each batch's events.
 
     ``checkpoint_dir`` must be on shared storage (it holds the stream's file
     log and offsets).  ``available_now=True`` processes what is there and
@@ -74,7 +81,7 @@ def start_event_stream(
         .load(log_dir)
         .select("path")
     )
-    writer = files.writeStream.foreachBatch(_batch_writer(out_dir, protagonist, charset)).option(
+    writer = files.writeStream.foreachBatch(_batch_writer(out_dir, protagonist, charset, live)).option(
         "checkpointLocation", checkpoint_dir
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

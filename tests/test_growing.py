@@ -84,3 +84,25 @@ def test_stream_goes_on_after_a_stop(spark, tmp_path):
     done = run(lines[60:])
     assert done == 2 and ids(logs.numbered(done)) == brute(lines)
     assert logs.numbered(done).where(F.col("match_id").isNull()).isEmpty()
+
+
+def test_a_file_is_polled_while_it_grows(spark, tmp_path):
+    """As the game writes ``latest.log``: half a line at the end waits, and the
+    event table in the end is that of the finished file."""
+    from matchlog.operators.events import build_events
+    from matchlog.sources.logs import read_logs
+    from matchlog.streaming.growing import poll
+
+    log, logs = tmp_path / "latest.log", GrowingLogs(spark, str(tmp_path / "state"))
+    text = "\r\n".join(chat_line(m) for m in ["oi", START, "ana morreu para p7.", START, "+3 Ouro", "Você comprou Lã."]).encode("cp1252")
+    sizes = []
+    for batch, end in enumerate((60, 61, 130, len(text))):
+        log.write_bytes(text[:end])
+        poll(logs, str(log), batch)
+        sizes.append(logs.numbered(batch + 1).count())
+    poll(logs, str(log), 4, closed=True)
+    assert sizes == [1, 1, 2, 5] and logs.numbered(5).count() == 6
+    columns = ["line_no", "match_id", "category", "message", "actor"]
+    mine = build_events(logs.numbered(5), "p7").select(*columns)
+    whole = build_events(read_logs(spark, str(log)), "p7").select(*columns)
+    assert sorted(map(tuple, mine.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)

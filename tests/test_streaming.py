@@ -44,3 +44,20 @@ def test_file_names_are_taken_literally(spark, tmp_path):
     start_event_stream(spark, logs, out, ckpt, protagonist="p7", available_now=True, max_files_per_trigger=2).awaitTermination(120)
     got = sorted(r.message for r in spark.read.parquet(out).select("message").collect())
     assert got == sorted(["um", "dois", "tres", "quatro", "cinco"])
+
+
+def test_stream_keeps_marts_up_to_date(spark, tmp_path):
+    from matchlog.operators import marts
+    from matchlog.streaming.live_marts import LiveMarts
+
+    logs, out, ckpt = (str(tmp_path / d) for d in ("logs", "out", "ckpt"))
+    os.makedirs(logs)
+    live = LiveMarts(spark, str(tmp_path / "live"))
+    for k, name in enumerate(("a.log", "b.log")):
+        _log(os.path.join(logs, name), ["O jogo iniciou!", "ana morreu para p7.", "p7 morreu para bob.", f"+{k + 1} Ouro", "+5 XP"])
+        start_event_stream(spark, logs, out, ckpt, protagonist="p7", available_now=True, live=live).awaitTermination(120)
+    ev = spark.read.parquet(out)
+    for name in ("kd_by_player", "match_spans", "resources_by_match", "xp_by_match"):
+        whole = getattr(marts, name)(ev)
+        mine = getattr(live, name)(2).select(*whole.columns)
+        assert mine.exceptAll(whole).isEmpty() and whole.exceptAll(mine).isEmpty(), name
