@@ -32,7 +32,7 @@ from ..operators.segment import assign_match_ids
 from ..operators.sessions import sessions
 from ..session import scratch_path
 from ..sources.fixture import PROTAGONIST, render_log
-from ..sources.tables import read_table
+from ..sources.tables import deal_single_split, read_table
 from ..streaming.growing import GrowingLogs, batches_done, start_growing_stream
 from ..streaming.live_marts import LiveMarts
 
@@ -58,7 +58,7 @@ def query(fn: Query | None = None, *, name: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
+    return deal_single_split(read_table(spark, sf_dir, name))
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

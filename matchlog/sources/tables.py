@@ -10,8 +10,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, partitions: int) -> DataFrame:
-    """``df`` dealt round-robin to ``partitions``: an option for benchmarks and
-    tests whose small file is a single scan task.  Queries do not use it; at
-    scale a scan has far more splits than cores."""
-    return df.repartition(partitions)
+def deal_single_split(df: DataFrame) -> DataFrame:
+    """``df``, dealt to all cores if its scan is a single task.  A file of one
+    split (128 MB at most by default) would else be parsed by one core.  A table of
+    more splits is left as it is: nothing is shuffled that a scan already spreads.
+    Planning only; no job runs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if cores > 1 and df.rdd.getNumPartitions() == 1 else df
