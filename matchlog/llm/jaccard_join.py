@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -420,3 +421,32 @@ def _with_components(members: DataFrame, components: DataFrame) -> DataFrame:
     full = members.where("n > 0").join(classes, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     bare = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.unionByName(bare)
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '[\\x20\\x09-\\x0D]+'),
+                             lambda w: w <> '') AS words
+  FROM documents
+),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) >= 5
+           THEN list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))
+           WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles
+  FROM d
+),
+n AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles FROM s),
+x AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 80 * (na.n_shingles + nb.n_shingles - c)
+),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (
+  SELECT doc_id, doc_id AS other FROM n
+  UNION
+  SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other
+)
+SELECT n.doc_id, n_shingles, min(other) AS component_id FROM n JOIN r USING (doc_id) GROUP BY n.doc_id, n_shingles
+"""

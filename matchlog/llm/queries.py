@@ -110,6 +110,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op7_ngram_jaccard_join": jaccard_join.ORACLE_SQL,
     "op10_line_dedup": line_dedup.ORACLE_SQL,
     "op11_filter_audit": filter_audit.ORACLE_SQL,
     "op12_collocations": collocations.ORACLE_SQL,
